@@ -1 +1,262 @@
+"""Merges and slowly changing dimensions."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from stardw.functions import FIRST_DAY
+from stardw.operators import facts, merge, scd
+from stardw.plans.model import LOAD_DATES
+from stardw.session import work_folder
+from stardw.sources import full_load
+
+from .joins import SCD3_SQL
+from .registry import query
+from .sql import sk, with_
+
+TRACKED = ["priority", "status"]
+
+# Latest profile of each customer over all loads: the state of a type 1 dimension.
+TYPE_1 = """
+SELECT customer_id, priority, status FROM loads
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY load_date DESC) = 1"""
+
+
+def type_1_loads(m, **options):
+    """The three snapshots merged one after the other."""
+    dim = m.customer_snapshot(LOAD_DATES[0])
+    merged = None
+    for load_date in LOAD_DATES[1:]:
+        merged = merge.scd1_merge(dim, m.customer_snapshot(load_date), "customer_id", **options)
+        dim = merge.current_state(merged)
+    return merged
+
+
+@query("p01_scd1_merge", with_("loads", TYPE_1))
+def scd1_merge(m):
+    return merge.current_state(type_1_loads(m))
+
+
+@query("p02_scd1_only_changes", with_("loads", """
+, a AS (SELECT * FROM loads WHERE load_date = DATE '1999-01-01'),
+  b AS (SELECT * FROM loads WHERE load_date = DATE '1998-01-01')
+SELECT CASE WHEN b.customer_id IS NULL THEN 'inserted'
+            WHEN a.priority IS DISTINCT FROM b.priority OR a.status IS DISTINCT FROM b.status
+            THEN 'updated' ELSE 'kept' END AS action, count(*) AS "rows"
+FROM a LEFT JOIN b ON b.customer_id = a.customer_id GROUP BY ALL"""))
+def scd1_only_changes(m):
+    return merge.action_counts(type_1_loads(m, only_changes=True))
+
+
+@query("p03_scd1_refresh", """
+SELECT n_nationkey AS territory_id, trim(n_name) AS territory_name, n_regionkey AS region_id
+FROM nation""")
+def scd1_refresh(m):
+    path = work_folder(m.spark, "territory")
+    for _ in range(2):
+        full_load(m.territories(), path)
+    return m.spark.read.parquet(path)
+
+
+@query("p04_insert_only_merge", with_("loads", """
+SELECT customer_id, priority, status, load_date > DATE '1997-01-01' AS added FROM loads
+WHERE load_date < DATE '1999-01-01'
+QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY load_date) = 1"""))
+def insert_only_merge(m):
+    old, new = m.customer_snapshot(LOAD_DATES[0]), m.customer_snapshot(LOAD_DATES[1])
+    merged = merge.insert_only(old, new, ["customer_id"])
+    return merged.withColumn("added", F.col(merge.ACTION) == "inserted").drop(merge.ACTION)
+
+
+@query("p11_scd2_initial", with_("loads", f"""
+SELECT {sk('customer_id', "DATE '1900-01-01'")} AS customer_sk, customer_id, priority, status,
+       '1900-01-01' AS valid_from, '9999-12-31' AS valid_to, true AS is_current
+FROM loads WHERE load_date = DATE '1997-01-01'"""))
+def scd2_initial(m):
+    return scd.scd2_initial(m.customer_snapshot(LOAD_DATES[0]), "customer_id", "customer_sk")
+
+
+@query("p12_scd2_changes", with_("loads", """
+SELECT b.customer_id, a.priority AS old_priority, a.status AS old_status, b.priority, b.status
+FROM loads a JOIN loads b ON a.customer_id = b.customer_id
+ AND a.load_date = DATE '1997-01-01' AND b.load_date = DATE '1998-01-01'
+WHERE a.priority IS DISTINCT FROM b.priority OR a.status IS DISTINCT FROM b.status"""))
+def scd2_changes(m):
+    found = scd.scd2_changes(
+        scd2_initial(m), m.customer_snapshot(LOAD_DATES[1]), "customer_id", TRACKED
+    )
+    return found.withColumnsRenamed({"_old_priority": "old_priority", "_old_status": "old_status"})
+
+
+@query("p13_p15_scd2_actions", with_("loads", """
+, a AS (SELECT * FROM loads WHERE load_date = DATE '1997-01-01'),
+  b AS (SELECT * FROM loads WHERE load_date = DATE '1998-01-01'),
+  c AS (SELECT a.customer_id AS old_id, b.customer_id AS new_id,
+               a.priority IS DISTINCT FROM b.priority OR a.status IS DISTINCT FROM b.status AS diff
+        FROM a FULL JOIN b ON a.customer_id = b.customer_id)
+SELECT 'expired' AS action, count(*) AS "rows" FROM c WHERE old_id IS NOT NULL AND new_id IS NOT NULL AND diff
+UNION ALL
+SELECT 'inserted', count(*) FROM c WHERE old_id IS NULL OR (new_id IS NOT NULL AND diff)
+UNION ALL
+SELECT 'kept', count(*) FROM c WHERE old_id IS NOT NULL AND (new_id IS NULL OR NOT diff)"""))
+def scd2_actions(m):
+    applied = scd.scd2_apply(
+        scd2_initial(m), m.customer_snapshot(LOAD_DATES[1]), "customer_id", TRACKED,
+        LOAD_DATES[1], "customer_sk",
+    )
+    return merge.action_counts(applied)
+
+
+def versions_sql(part: str, key: str, name: str, columns: str) -> str:
+    return with_(part, f"""
+SELECT {sk(key, 'valid_from')} AS {name}, {key}, {columns},
+       CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to,
+       is_current FROM {part}""")
+
+
+@query("p16_scd2_customer", versions_sql(
+    "cust_loads", "customer_id", "customer_sk", "priority, status"))
+def scd2_customer(m):
+    return m.dim_customer_loads()
+
+
+@query("p16_scd2_from_first_day", with_("load_points", """
+SELECT customer_id, priority, status,
+       CAST(CASE WHEN nth = 1 THEN DATE '1900-01-01' ELSE load_date END AS VARCHAR) AS valid_from,
+       CAST(coalesce(lead(load_date) OVER w - 1, DATE '9999-12-31') AS VARCHAR) AS valid_to
+FROM load_points WINDOW w AS (PARTITION BY customer_id ORDER BY load_date)"""))
+def scd2_from_first_day(m):
+    """New members valid from the first day, so that early facts find them."""
+    dim = m.dim_customer_loads(new_member_from=FIRST_DAY)
+    return dim.select("customer_id", "priority", "status", "valid_from", "valid_to")
+
+
+@query("p16_scd2_close_missing", with_("o", """
+, y AS (SELECT * FROM (VALUES (1997), (1998), (1999)) t(load_year)),
+  snap AS (SELECT y.load_year, o.customer_id, o.priority FROM o JOIN y
+             ON year(o.order_date) = y.load_year - 1 WHERE o.status = 'F'
+           QUALIFY row_number() OVER (PARTITION BY y.load_year, o.customer_id
+                                      ORDER BY o.order_date DESC, o.order_id DESC) = 1),
+  p AS (SELECT *, lag(load_year) OVER w AS last_year, lag(priority) OVER w AS last_priority
+        FROM snap WINDOW w AS (PARTITION BY customer_id ORDER BY load_year)),
+  starts AS (SELECT customer_id, load_year, priority FROM p
+             WHERE last_year IS NULL OR last_year < load_year - 1
+                OR priority IS DISTINCT FROM last_priority),
+  ends AS (SELECT s.customer_id, s.load_year, s.priority,
+                  (SELECT min(y2.load_year) FROM y y2 WHERE y2.load_year > s.load_year
+                     AND NOT EXISTS (SELECT 1 FROM p q WHERE q.customer_id = s.customer_id
+                                     AND q.load_year = y2.load_year
+                                     AND q.priority IS NOT DISTINCT FROM s.priority)) AS ended
+           FROM starts s)
+SELECT customer_id, priority,
+       CASE WHEN load_year = 1997 THEN '1900-01-01' ELSE load_year || '-01-01' END AS valid_from,
+       CASE WHEN ended IS NULL THEN '9999-12-31' ELSE (ended - 1) || '-12-31' END AS valid_to,
+       ended IS NULL AS is_current FROM ends"""))
+def scd2_close_missing(m):
+    """Members without a finished order in the year before a load are closed by it."""
+    def snapshot(load_date):
+        year = load_date.year - 1
+        seen = m.orders().filter((F.year("order_date") == year) & (F.col("status") == "F"))
+        last = F.max_by("priority", F.struct("order_date", "order_id"))
+        return seen.groupBy("customer_id").agg(last.alias("priority"))
+
+    dim = scd.scd2_initial(snapshot(LOAD_DATES[0]), "customer_id", "customer_sk")
+    for load_date in LOAD_DATES[1:]:
+        dim = scd.scd2_apply(
+            dim, snapshot(load_date), "customer_id", ["priority"], load_date, "customer_sk",
+            close_missing=True,
+        ).drop(merge.ACTION)
+    return dim.select("customer_id", "priority", "valid_from", "valid_to", "is_current")
+
+
+@query("p17_scd2_customer_history", versions_sql(
+    "cust", "customer_id", "customer_sk", "priority, status"))
+def scd2_customer_history(m):
+    return m.dim_customer()
+
+
+@query("p17_scd2_product_history", versions_sql(
+    "prod", "product_id", "product_sk", "CAST(unit_price AS DOUBLE) AS unit_price"))
+def scd2_product_history(m):
+    return m.dim_product()
+
+
+@query("p18_scd3_initial", with_("loads", """
+SELECT customer_id, priority AS current_priority, CAST(NULL AS VARCHAR) AS previous_priority,
+       CAST(NULL AS VARCHAR) AS priority_changed_on, status AS current_status,
+       CAST(NULL AS VARCHAR) AS previous_status, CAST(NULL AS VARCHAR) AS status_changed_on
+FROM loads WHERE load_date = DATE '1997-01-01'"""))
+def scd3_initial(m):
+    return scd.scd3_initial(m.customer_snapshot(LOAD_DATES[0]), "customer_id", TRACKED)
+
+
+@query("p19_scd3_rotate", SCD3_SQL)
+def scd3_rotate(m):
+    return m.dim_customer_scd3()
+
+
+@query("p20_scd3_new_members", with_("loads", """
+SELECT customer_id, priority AS current_priority, CAST(NULL AS VARCHAR) AS previous_priority
+FROM loads WHERE load_date = DATE '1998-01-01' AND customer_id NOT IN
+  (SELECT customer_id FROM loads WHERE load_date = DATE '1997-01-01')"""))
+def scd3_new_members(m):
+    applied = scd.scd3_apply(
+        scd3_initial(m), m.customer_snapshot(LOAD_DATES[1]), "customer_id", TRACKED,
+        LOAD_DATES[1],
+    )
+    return applied.filter(F.col(merge.ACTION) == "inserted").select(
+        "customer_id", "current_priority", "previous_priority"
+    )
+
+
+def pending_then_shipped(m):
+    """The order fact before and after the shipped dates since 1998 arrive."""
+    after = m.fulfillment().select(
+        "order_id", "order_date_key", "shipped_date_key", "days_to_ship", "is_late"
+    )
+    known = F.col("shipped_date_key") < 19980101
+    before = after.withColumns({
+        c: F.when(known, F.col(c)) for c in ("shipped_date_key", "days_to_ship", "is_late")
+    })
+    return before, after
+
+
+@query("p24_milestone_merge", with_("ful", """
+SELECT order_id, order_date_key, shipped_date_key, days_to_ship, is_late,
+       CASE WHEN shipped_date_key >= 19980101 THEN 'updated' ELSE 'kept' END AS action FROM ful"""))
+def milestone_merge(m):
+    before, after = pending_then_shipped(m)
+    return facts.milestone_merge(before, after).withColumnRenamed(merge.ACTION, "action")
+
+
+@query("p25_rows_to_change", with_("ful", """
+SELECT CASE WHEN shipped_date_key >= 19980101 THEN 'updated' ELSE 'kept' END AS action,
+       count(*) AS "rows" FROM ful GROUP BY ALL"""))
+def rows_to_change(m):
+    before, after = pending_then_shipped(m)
+    return merge.action_counts(facts.milestone_merge(before, after))
+
+
+@query("p41_update_delete_by_predicate", with_("o", """
+SELECT order_id, CASE WHEN priority = '5-LOW' THEN 'H' ELSE status END AS status, priority
+FROM o WHERE NOT (status = 'P' AND ship_via = 1)"""))
+def update_delete_by_predicate(m):
+    orders = m.orders()
+    low = merge.update_where(orders, F.col("priority") == "5-LOW", {"status": F.lit("H")})
+    urgent = (F.col("status") == "P") & (F.col("ship_via") == 1)
+    return merge.delete_where(low, urgent).select("order_id", "status", "priority")
+
+
+@query("p45_update_from_source", with_("o l", """
+SELECT o.order_id, CASE WHEN s.order_id IS NULL THEN o.priority ELSE s.label END AS priority,
+       o.status
+FROM o LEFT JOIN (SELECT order_id, 'big' AS label FROM l GROUP BY order_id
+                  HAVING sum(quantity) > 200) s ON s.order_id = o.order_id"""))
+def update_from_source(m):
+    big = m.lines().groupBy("order_id").agg(F.sum("quantity").alias("q")).filter("q > 200")
+    return merge.current_state(
+        merge.update_from(
+            m.orders().select("order_id", "priority", "status"),
+            big.select("order_id", F.lit("big").alias("priority")), ["order_id"], ["priority"],
+        )
+    )

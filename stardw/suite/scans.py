@@ -268,7 +268,7 @@ def change_feed_applied(m):
     first, second = change_feed(m)
     keys, order = ["user_id"], ["ts", "event_id"]
     deleted = F.col("event_type") == "error"
-    empty = with_missing_columns(first, contract(is_deleted=FLAG)).limit(0)
+    empty = with_missing_columns(first, contract(is_deleted=FLAG)).filter(F.lit(False))
     state = current_state(incremental.apply_changes(empty, first, keys, order, deleted))
     state = current_state(incremental.apply_changes(state, second, keys, order, deleted))
     return incremental.live(state).select("user_id", "event_id", "event_type", "value", "ts")
