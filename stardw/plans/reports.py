@@ -155,11 +155,11 @@ def seasonality(sales: DataFrame) -> DataFrame:
     )
 
 
-def to_reorder(stock: DataFrame, products: DataFrame) -> DataFrame:
+def to_reorder(stock: DataFrame, products: DataFrame, key: str) -> DataFrame:
     """Products below their level in the latest snapshot."""
     latest = stock.agg(F.max("snapshot_date_key")).scalar()
     low = stock.filter((F.col("snapshot_date_key") == latest) & F.col("needs_reorder"))
-    return low.join(products, "product_id").withColumn(
+    return low.join(products, key).withColumn(
         "above_level", F.col("units_in_stock") - F.col("reorder_level")
     )
 

@@ -1 +1,122 @@
+"""Table versions, layout jobs and continuous loads (X, streams)."""
 
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from stardw.functions import date_key
+from stardw.operators import layout, versions
+from stardw.plans.model import LOAD_DATES
+from stardw.session import work_folder
+from stardw.streaming import stream_append, stream_changes
+
+from .registry import query
+from .scans import LATEST_EVENT
+from .sql import with_
+
+
+def published(m) -> str:
+    """The customer snapshots of the load dates as versions 0, 1 and 2."""
+    path = work_folder(m.spark, "customer-versions")
+    for number, day in enumerate(LOAD_DATES):
+        moment = datetime(day.year, day.month, day.day, 6, 0)
+        versions.publish(m.customer_snapshot(day), path, number, moment, f"load {number}")
+    return path
+
+
+@query("x01_load_history", with_("loads", """
+SELECT CAST(row_number() OVER (ORDER BY load_date) - 1 AS INTEGER) AS version,
+       load_date || ' 06:00:00.000000' AS load_ts,
+       'load ' || (row_number() OVER (ORDER BY load_date) - 1) AS operation, count(*) AS "rows"
+FROM loads GROUP BY load_date"""))
+def load_history(m):
+    return versions.history(m.spark, published(m))
+
+
+@query("x02_read_version", with_("loads", """
+SELECT customer_id, priority, status FROM loads WHERE load_date = DATE '1997-01-01'"""))
+def read_version(m):
+    return versions.read_version(m.spark, published(m), 0)
+
+
+@query("x03_read_as_of", with_("loads", """
+SELECT customer_id, priority, status FROM loads WHERE load_date = DATE '1998-01-01'"""))
+def read_as_of(m):
+    return versions.read_as_of(m.spark, published(m), datetime(1998, 7, 1))
+
+
+@query("x04_version_difference", with_("loads", """
+, a AS (SELECT customer_id, priority, status FROM loads WHERE load_date = DATE '1997-01-01'),
+  b AS (SELECT customer_id, priority, status FROM loads WHERE load_date = DATE '1999-01-01')
+SELECT *, 'removed' AS change FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+UNION ALL SELECT *, 'added' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)"""))
+def version_difference(m):
+    path = published(m)
+    return versions.difference(
+        versions.read_version(m.spark, path, 0), versions.read_version(m.spark, path, 2)
+    )
+
+
+@query("x04_restore", with_("loads", """
+SELECT customer_id, priority, status FROM loads WHERE load_date = DATE '1997-01-01'"""))
+def restore(m):
+    path = published(m)
+    newest = versions.restore(m.spark, path, 0, datetime(2000, 1, 1))
+    return versions.read_version(m.spark, path, newest)
+
+
+@query("x05_compaction", """
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status,
+       CAST(1 AS BIGINT) AS files FROM orders""")
+def compaction(m):
+    """Many small files rewritten by size; the number of files is shown beside the rows."""
+    small, large = work_folder(m.spark, "orders-small"), work_folder(m.spark, "orders-large")
+    m.orders().select("order_id", "customer_id", "status").repartition(24).write.parquet(small)
+    layout.compact(m.spark, small, large)
+    files = layout.file_sizes(m.spark, large).agg(F.count("*")).scalar()
+    return m.spark.read.parquet(large).withColumn("files", files)
+
+
+@query("x06_clustered", with_("l", """
+SELECT order_id, product_id, employee_id, line_number,
+       CAST(strftime(ship_date, '%Y%m%d') AS INTEGER) AS ship_date_key FROM l"""))
+def clustered(m):
+    path = work_folder(m.spark, "lines-clustered")
+    lines = m.lines().select(
+        "order_id", "product_id", "employee_id", "line_number",
+        date_key(F.col("ship_date")).alias("ship_date_key"),
+    )
+    layout.cluster(lines, ["ship_date_key", "product_id"], path, files=16)
+    return m.spark.read.parquet(path)
+
+
+def event_stream(m):
+    schema = m.given("events").schema
+    source = m.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return source.parquet(m.folder).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@query("a19_stream_append", """
+SELECT event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM events GROUP BY event_type""")
+def streamed_append(m):
+    path, state = work_folder(m.spark, "events"), work_folder(m.spark, "events-state")
+    stream_append(event_stream(m), path, state).awaitTermination()
+    stored = m.spark.read.parquet(path)
+    return stored.groupBy("event_type").agg(
+        F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total")
+    )
+
+
+@query("a20_stream_changes", f"SELECT * FROM ({LATEST_EVENT}) WHERE event_type <> 'error'")
+def streamed_changes(m):
+    path, state = work_folder(m.spark, "users"), work_folder(m.spark, "users-state")
+    stream_changes(
+        event_stream(m), path, state, ["user_id"], ["ts", "event_id"],
+        F.col("event_type") == "error",
+    ).awaitTermination()
+    last = versions.latest_version(m.spark, path)
+    users = versions.read_version(m.spark, path, last).filter(~F.col("is_deleted"))
+    return users.select("user_id", "event_id", "event_type", "value", "ts")
