@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stardw.functions import changed, date_key, days_between, late_flag, surrogate_key
 
-from .asof import as_of_join
+from .asof import as_of_join, year_span
 from .junk import assign_flags
 from .merge import insert_only, merge_rows
 
@@ -32,16 +32,19 @@ def sales_fact(
     them. Inner joins: a line without a version is left out and shows up in
     `asof.unmatched`.
     """
+    years = year_span(orders, "order_date")
     headers = as_of_join(
         orders.select("order_id", "customer_id", "order_date", "ship_via"),
-        customers, "customer_id", "order_date", ["customer_sk"],
+        customers, "customer_id", "order_date", ["customer_sk"], span=years,
     ).join(
         shippers.select(F.col("shipper_id").alias("ship_via"), "shipper_sk"), "ship_via"
     )
     sold = lines.join(headers, "order_id").join(
         employees.select("employee_id", "employee_sk"), "employee_id"
     )
-    priced = as_of_join(sold, products, "product_id", "order_date", ["product_sk"])
+    priced = as_of_join(
+        sold, products, "product_id", "order_date", ["product_sk"], span=years
+    )
     return assign_flags(priced, flags).select(
         surrogate_key(*SALES_GRAIN).alias("sales_sk"),
         *SALES_GRAIN,

@@ -134,7 +134,7 @@ def scd2_history(
     key: str,
     tracked: Sequence[str],
     day: str,
-    order_by: Sequence[str],
+    order_by: Sequence[str] | None,
     sk: str,
     first_from: date | None = FIRST_DAY,
 ) -> DataFrame:
@@ -143,10 +143,14 @@ def scd2_history(
     Events are first reduced to the last one per member and day (a partial
     aggregate runs before the shuffle), so the windows below see at most one
     row per member and day even if a member holds most of the events. Unless
-    `first_from` is None, the first version of a member starts there.
+    `first_from` is None, the first version of a member starts there. Without
+    `order_by` the events must be one per member and day already.
     """
-    last = F.max_by(F.struct(*tracked), F.struct(*order_by))
-    daily = events.groupBy(key, F.col(day).alias("_day")).agg(last.alias("_v"))
+    if order_by is None:
+        daily = events.select(key, F.col(day).alias("_day"), F.struct(*tracked).alias("_v"))
+    else:
+        last = F.max_by(F.struct(*tracked), F.struct(*order_by))
+        daily = events.groupBy(key, F.col(day).alias("_day")).agg(last.alias("_v"))
     by_day = Window.partitionBy(key).orderBy("_day")
     before = F.lag("_v").over(by_day)
     first = F.row_number().over(by_day) == 1

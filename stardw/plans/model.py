@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stardw.functions import net_amount, ship_mode, surrogate_key
+from stardw.functions import divide_half_up, ship_mode, surrogate_key, to_decimal, units
 from stardw.operators import bridge, dims, facts, incremental, junk, scd
 from stardw.operators.dims import keyed_dimension
 from stardw.sources import conform, date_series, read_table
@@ -91,8 +91,8 @@ class Model:
         return conform(df, RAW["order"])
 
     def lines(self) -> DataFrame:
-        gross = F.col("l_extendedprice").cast("decimal(18,2)")
-        discount = F.col("l_discount").cast("decimal(5,4)")
+        cents = units(F.col("l_extendedprice"), 2)
+        rate = units(F.col("l_discount"), 4)
         quantity = F.col("l_quantity").cast("int")
         df = self.given("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
@@ -100,10 +100,12 @@ class Model:
             F.col("l_suppkey").alias("employee_id"),
             F.col("l_linenumber").alias("line_number"),
             quantity.alias("quantity"),
-            (gross / quantity).cast("decimal(18,4)").alias("unit_price"),
-            discount.alias("discount"),
-            gross.alias("gross"),
-            net_amount(gross, discount).alias("net"),
+            to_decimal(
+                divide_half_up(cents * 100, quantity.cast("bigint")), 4
+            ).alias("unit_price"),
+            to_decimal(rate, 4).cast("decimal(5,4)").alias("discount"),
+            to_decimal(cents, 2).alias("gross"),
+            to_decimal(divide_half_up(cents * (10000 - rate), F.lit(100)), 4).alias("net"),
             F.to_date("l_shipdate").alias("ship_date"),
         )
         return conform(df, RAW["line"])
@@ -219,7 +221,7 @@ class Model:
         """Product versions by price."""
         return scd.scd2_history(
             self.monthly_prices(), "product_id", ["unit_price"], "price_month",
-            ["price_month"], "product_sk",
+            None, "product_sk",
         )
 
     def dim_customer_scd3(self) -> DataFrame:

@@ -10,6 +10,7 @@ totals per key are formed first and named afterwards.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,14 +52,28 @@ def by_year(sales: DataFrame, by: str, years: Sequence[int]) -> DataFrame:
 
 
 def revenue_by(sales: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Orders, gross, net, discount given and mean discount in percent."""
-    return sales.groupBy(*by).agg(
-        F.count_distinct("order_id").alias("orders"),
+    """Orders, gross, net, discount given and mean discount in percent.
+
+    Orders are counted apart from the sums: a distinct count in the same
+    grouping would carry every sum through the shuffle of each single order.
+    """
+    orders = sales.select(*by, "order_id").distinct().groupBy(*by).agg(
+        F.count("*").alias("orders")
+    )
+    sums = sales.groupBy(*by).agg(
         F.sum("gross").alias("gross"),
         F.sum("net").alias("net"),
         F.sum(F.col("gross") - F.col("net")).alias("discount_total"),
         (mean(F.col("discount")) * 100).alias("mean_discount_pct"),
     )
+    return same_groups(sums, orders, by)
+
+
+def same_groups(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Put two totals of the same groups side by side; a NULL group meets its like."""
+    other = right.withColumnsRenamed({c: f"_r_{c}" for c in by})
+    equal = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by))
+    return left.join(other, equal).drop(*[f"_r_{c}" for c in by])
 
 
 def top_members(sales: DataFrame, key: str, top: int) -> DataFrame:

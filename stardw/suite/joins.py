@@ -102,7 +102,8 @@ JOIN prod p ON p.product_id = l.product_id
 def price_at_sale(m):
     versions = m.dim_product().withColumnRenamed("unit_price", "list_price")
     return asof.as_of_join(
-        m.sales("order_date"), versions, "product_id", "order_date", ["list_price"]
+        m.sales("order_date"), versions, "product_id", "order_date", ["list_price"],
+        span=asof.year_span(m.orders(), "order_date"),
     ).select("order_id", "product_id", "employee_id", "line_number", "unit_price", "list_price")
 
 

@@ -154,7 +154,8 @@ GROUP BY ALL"""))
 def price_history(m):
     versions = m.dim_product()
     sold = asof.as_of_join(
-        m.sales("order_date"), versions, "product_id", "order_date", ["product_sk"]
+        m.sales("order_date"), versions, "product_id", "order_date", ["product_sk"],
+        span=asof.year_span(m.orders(), "order_date"),
     )
     named = m.products().select("product_id", "product_name", "category")
     return reports.version_sales(versions, sold, "product_sk").join(named, "product_id").select(
