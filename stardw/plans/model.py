@@ -130,6 +130,12 @@ class Model:
         """Lines with columns of their order."""
         return self.lines().join(self.orders().select("order_id", *order_columns), "order_id")
 
+    def grain_totals(self, *order_columns: str) -> DataFrame:
+        """One row per line grain; a grain delivered twice is added up."""
+        return self.sales(*order_columns).groupBy(*facts.SALES_GRAIN, *order_columns).agg(
+            F.sum("quantity").alias("quantity"), F.sum("net").alias("net")
+        )
+
     def shipments(self) -> DataFrame:
         """Orders with their shipped date: last line shipped, if the order is finished."""
         last = self.lines().groupBy("order_id").agg(F.max("ship_date").alias("_last"))

@@ -286,9 +286,10 @@ def report(m):
 
 
 REPORT_SQL = """
-, v AS (SELECT * FROM (VALUES (1, 'order grain', 0), (2, 'line grain', 0),
-                              (3, 'one current version', 0), (4, 'version gaps', 0),
+, v AS (SELECT * FROM (VALUES (1, 'order grain', 0), (3, 'one current version', 0), (4, 'version gaps', 0),
                               (5, 'line to product', 0), (7, 'net up to gross', 0)) t(no, name, value)
+  UNION ALL SELECT 2, 'line grain', count(*) FROM (SELECT 1 FROM lineitem
+    GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber HAVING count(*) > 1)
   UNION ALL SELECT 6, 'orders without a version', count(*) FROM o WHERE NOT EXISTS (
     SELECT 1 FROM cust_loads v WHERE v.customer_id = o.customer_id
        AND o.order_date >= v.valid_from AND o.order_date <= v.valid_to)
