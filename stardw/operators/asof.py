@@ -114,15 +114,10 @@ def current_join(
     return facts.join(versions.filter("is_current").select(key, *take), key, how)
 
 
-def unmatched(facts: DataFrame, versions: DataFrame, key: str, day: str) -> DataFrame:
+def unmatched(
+    facts: DataFrame, versions: DataFrame, key: str, day: str, span: Column | None = None
+) -> DataFrame:
     """Facts no version covers: what an inner point-in-time join leaves out."""
-    right = versions.select(
-        F.col(key).alias("_key"), F.col("valid_from").alias("_from"),
-        F.col("valid_to").alias("_to"),
-    )
-    covered = (
-        (F.col(key) == F.col("_key"))
-        & (F.col(day) >= F.col("_from"))
-        & (F.col(day) <= F.col("_to"))
-    )
-    return facts.join(right, covered, "left_anti")
+    marked = versions.withColumn("_found", F.lit(True))
+    tested = as_of_join(facts, marked, key, day, ["_found"], how="left", span=span)
+    return tested.filter(F.col("_found").isNull()).drop("_found")

@@ -36,7 +36,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     required; a machine-local folder is used only by a local master.
     """
     global _local_base
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

@@ -59,14 +59,20 @@ def merge_into_partitions(
 ) -> None:
     """Merge `source` into a partitioned table, rewriting only its partitions.
 
-    The semi join on the partition values prunes the target scan, so cold
-    partitions are neither read nor written. The result is written to the
-    shared work folder first: the table is not replaced by a plan that still
-    reads it, and an interrupted replacement can be run again from there.
+    The partition values of the source are listed first, one per folder that
+    will be replaced, and become a literal filter: a join on them would not
+    prune the target, since the source has no filter Spark could pass on. So
+    cold partitions are neither read nor written. The result is written to the
+    shared work folder before the table is touched: the table is not replaced
+    by a plan that still reads it, and an interrupted replacement can be run
+    again from there.
     """
-    touched = source.select(partition).distinct()
+    values = [row[0] for row in source.select(partition).distinct().collect()]
     target = spark.read.parquet(path)
-    affected = target.join(touched, partition, "left_semi")
+    in_source = F.col(partition).isin([v for v in values if v is not None])
+    if None in values:
+        in_source = in_source | F.col(partition).isNull()
+    affected = target.filter(in_source)
     staged = work_folder(spark, "merge")
     merge(affected, source).select(*target.columns).write.parquet(staged)
     (
