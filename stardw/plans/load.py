@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stardw.operators import facts
+from stardw.operators import bridge, facts
 from stardw.plans.model import Model
 from stardw.sources import full_load
 from stardw.sources.contracts import WAREHOUSE
@@ -74,8 +74,10 @@ def run(model: Model, folder: str, load_ts: datetime) -> None:
     step("fact_fulfillment", lambda: facts.fulfillment_fact(
         model.shipments(), stored("dim_customer"), stored("dim_shipper"), model.countries()
     ))
-    step("fact_stock", model.fact_stock)
-    step("bridge_employee_territory", model.bridge)
+    step("fact_stock", lambda: model.fact_stock(stored("dim_product")))
+    step("bridge_employee_territory", lambda: bridge.load_bridge(
+        model.member_territories(), stored("dim_employee"), stored("dim_territory")
+    ))
     step("dim_customer_scd3", model.dim_customer_scd3)
     step("fact_activity", lambda: facts.activity_fact(
         model.activity_events(), stored("dim_employee"), stored("dim_territory")

@@ -244,8 +244,7 @@ class Model:
 
     def bridge(self) -> DataFrame:
         return bridge.load_bridge(
-            self.member_territories(), self.dim_employee().select("employee_id", "employee_sk"),
-            self.dim_territory(),
+            self.member_territories(), self.employee_keys(), self.dim_territory()
         )
 
     # Facts
@@ -281,11 +280,13 @@ class Model:
         moved = self.lines().select("product_id", F.col("ship_date").alias("moved_on"), "quantity")
         return facts.month_end_levels(moved, STOCK_CAP)
 
-    def fact_stock(self) -> DataFrame:
+    def fact_stock(self, product_dim: DataFrame | None = None) -> DataFrame:
+        """Month-end stock, keyed by the current product versions (built if not given)."""
         state = self.stock_levels().join(
             self.products().select("product_id", "reorder_level"), "product_id"
         )
-        current = self.dim_product().filter("is_current").select("product_id", "product_sk")
+        versions = self.dim_product() if product_dim is None else product_dim
+        current = versions.filter("is_current").select("product_id", "product_sk")
         keys = current.join(self.products(), "product_id").select(
             "product_id", "product_sk", surrogate_key("category").alias("category_sk")
         )
