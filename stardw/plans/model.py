@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stardw.functions import divide_half_up, ship_mode, surrogate_key, to_decimal, units
 from stardw.operators import bridge, dims, facts, incremental, junk, scd
 from stardw.operators.dims import keyed_dimension
-from stardw.sources import conform, date_series, read_table
+from stardw.sources import conform, date_series, projected, read_table
 from stardw.sources.contracts import RAW
 
 # Fixed values of the binding, repeated in the SQL next to each query.
@@ -28,30 +28,32 @@ class Model:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
-    def given(self, name: str, columns: dict[str, str] | None = None) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet", columns)
+    def given(self, name: str) -> DataFrame:
+        """A given table; files are listed and the schema is read once per model."""
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # Raw layer
 
     def regions(self) -> DataFrame:
-        return conform(
-            self.given("region", {"r_regionkey": "region_id", "r_name": "region_name"}),
-            RAW["region"],
-        )
+        names = {"r_regionkey": "region_id", "r_name": "region_name"}
+        return conform(projected(self.given("region"), names), RAW["region"])
 
     def territories(self) -> DataFrame:
         names = {
             "n_nationkey": "territory_id", "n_name": "territory_name", "n_regionkey": "region_id",
         }
-        return conform(self.given("nation", names), RAW["territory"])
+        return conform(projected(self.given("nation"), names), RAW["territory"])
 
     def customers(self) -> DataFrame:
         names = {
             "c_custkey": "customer_id", "c_name": "customer_name",
             "c_nationkey": "territory_id", "c_acctbal": "balance", "c_mktsegment": "segment",
         }
-        return conform(self.given("customer", names), RAW["customer"])
+        return conform(projected(self.given("customer"), names), RAW["customer"])
 
     def employees(self) -> DataFrame:
         """Suppliers as members; every tenth of the number leads the next ones."""
@@ -70,7 +72,7 @@ class Model:
             "p_partkey": "product_id", "p_name": "product_name", "p_brand": "brand",
             "p_type": "category", "p_size": "reorder_level", "p_retailprice": "list_price",
         }
-        return conform(self.given("part", names), RAW["product"])
+        return conform(projected(self.given("part"), names), RAW["product"])
 
     def orders(self, before: date | None = None) -> DataFrame:
         """Orders, or those placed before a day; that test reaches the Parquet scan."""

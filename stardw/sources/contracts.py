@@ -120,8 +120,12 @@ def conform(df: DataFrame, schema: StructType, strict: bool = False) -> DataFram
 
     A value that cannot be cast becomes NULL; with `strict` it raises.
     """
+    given = {f.name: f.dataType for f in df.schema.fields}
+
     def as_declared(field: StructField):
         col = F.col(f"`{field.name}`")
+        if given.get(field.name) == field.dataType:
+            return col
         typed = col.cast(field.dataType) if strict else col.try_cast(field.dataType)
         return typed.alias(field.name)
 

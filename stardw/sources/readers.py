@@ -59,8 +59,11 @@ def read_table(
 ) -> DataFrame:
     """Parquet table, projected to `columns` (source name -> own name)."""
     df = spark.read.parquet(path)
-    if columns is None:
-        return df
+    return df if columns is None else projected(df, columns)
+
+
+def projected(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Select columns under own names (source name -> own name)."""
     return df.select(*[F.col(f"`{source}`").alias(own) for source, own in columns.items()])
 
 
@@ -90,7 +93,7 @@ def read_jdbc(
         .option("numPartitions", partitions)
         .load()
     )
-    return df.select(*[F.col(f"`{source}`").alias(own) for source, own in columns.items()])
+    return projected(df, columns)
 
 
 def rows(spark: SparkSession, values: Sequence[tuple], ddl: str) -> DataFrame:

@@ -64,8 +64,8 @@ def cast_or_null(m):
 @query("a04_projected_scan", """
 SELECT s_suppkey AS supplier_id, s_name AS company_name, s_nationkey AS country_id FROM supplier""")
 def projected_scan(m):
-    return m.given(
-        "supplier",
+    return sources.read_table(
+        m.spark, f"{m.folder}/supplier.parquet",
         {"s_suppkey": "supplier_id", "s_name": "company_name", "s_nationkey": "country_id"},
     )
 
