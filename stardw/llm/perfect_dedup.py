@@ -17,19 +17,16 @@ every group is reduced to one row per task before it is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stardw.llm.tables import fresh, stored
+from stardw.llm.tables import fresh, spread_join, stored
 from stardw.llm.words import mix
 
 SHARD = 20_000
 GAMMA = 2
-HOT_SHARE = 1000
 
 _U = np.uint64
 
@@ -166,17 +163,8 @@ def groups(new: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def decide(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Every row of `rows` (with a column `digest`) with `keep` and `size` of its group.
-
-    Groups of more than one row in 1000 number at most 1000; they are joined
-    from a broadcast list, so that no group's rows meet in one task.
-    """
-    total = rows.count()
-    hot = F.broadcast(classes.filter(F.col("size") * HOT_SHARE > total))
-    usual = classes.filter(F.col("size") * HOT_SHARE <= total)
-    return rows.join(hot, "digest").unionByName(
-        rows.join(hot.select("digest"), "digest", "left_anti").join(usual, "digest")
-    )
+    """Every row of `rows` (with a column `digest`) with `keep` and `size` of its group."""
+    return spread_join(rows, classes, "digest", "size", rows.count())
 
 
 def split_by_age(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stardw.llm import adaptive_rules, line_blocks, mixing, perfect_dedup, warc
+from stardw.llm import adaptive_rules, line_blocks, mixing, partenum, perfect_dedup, warc
 from stardw.llm.tables import stored, table
 from stardw.session import work_folder
 
@@ -28,6 +28,13 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(documents).withColumnRenamed("key", "doc_id")
 
 
+def op5_partenum(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return partenum.classes(documents).select(
+        F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id")
+    )
+
+
 def op6_perfect_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     kept = F.col("key").eqNullSafe(F.col("keep"))
@@ -49,7 +56,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in [op2_mixing, op6_perfect_dedup, op7_line_blocks, op8_adaptive_rules,
+QUERIES = {f.__name__: f for f in [op2_mixing, op5_partenum, op6_perfect_dedup, op7_line_blocks, op8_adaptive_rules,
                                    op10_warc]}
 
 ORACLES: dict[str, str] = {

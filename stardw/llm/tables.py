@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stardw.session import work_folder
 
@@ -29,3 +30,20 @@ def fresh(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+HOT_SHARE = 1000
+
+
+def spread_join(rows: DataFrame, lookup: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """`rows` joined to `lookup`, which has each key once and in `size` how many rows have it.
+
+    Keys of more than one row in 1000 of `total` number at most 1000; their
+    rows are joined to a broadcast list and not shuffled, so that the rows of
+    no key meet in one task.
+    """
+    hot = F.broadcast(lookup.filter(F.col(size) * HOT_SHARE > total))
+    usual = lookup.filter(F.col(size) * HOT_SHARE <= total)
+    return rows.join(hot, key).unionByName(
+        rows.join(hot.select(key), key, "left_anti").join(usual, key)
+    )
