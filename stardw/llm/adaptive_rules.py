@@ -136,19 +136,19 @@ def fences(
     )
     merged = [F.kll_merge_agg_double(n, F.lit(SKETCH_K)).alias(n) for n in names]
     languages = groups.groupBy("_lang").agg(F.sum("_n").alias("_n"), *merged)
-    overall = groups.agg(F.sum("_n").alias("_n"), *merged)
+    overall = groups.agg(*merged)
 
     def prefixed(df: DataFrame, p: str) -> DataFrame:
         return df.select(*[F.col(c).alias(p + c) for c in df.columns])
 
     wide = groups.join(
         prefixed(languages, "l"), F.col("_lang").eqNullSafe(F.col("l_lang"))
-    ).join(F.broadcast(prefixed(overall, "a")), F.col("a_n") > 0)
+    ).withColumn("a", overall.select(F.struct(*names)).scalar())
 
     def cutoff(n: str) -> Column:
         sketch = F.when(F.col("_n") >= least_group, F.col(n)).when(
             F.col("l_n") >= least_group, F.col("l" + n)
-        ).otherwise(F.col("a" + n))
+        ).otherwise(F.col(f"a.{n}"))
         low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
         return high + reach * F.greatest(high - low, F.lit(LEAST_SPREAD[n]))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stardw.llm import adaptive_rules, line_blocks, mixing, partenum, perfect_dedup, warc
+from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, mixing, partenum, perfect_dedup, warc
 from stardw.llm.tables import stored, table
 from stardw.session import work_folder
 
@@ -23,6 +23,14 @@ def op8_adaptive_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *shown, "base_failed", "kept", "lang", "source")
 
 
+def op1_lattice_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return lattice_sampling.encoded(documents).select(
+        F.col("key").alias("doc_id"), "sample", F.size("ids").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_digest"), "log_prob", "perturbed", "log_inclusion", "exact",
+    )
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mixing.taken(documents).withColumnRenamed("key", "doc_id")
@@ -56,8 +64,10 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in [op2_mixing, op5_partenum, op6_perfect_dedup, op7_line_blocks, op8_adaptive_rules,
-                                   op10_warc]}
+QUERIES = {f.__name__: f for f in [
+    op1_lattice_sampling, op2_mixing, op5_partenum, op6_perfect_dedup, op7_line_blocks, op8_adaptive_rules,
+    op10_warc,
+]}
 
 ORACLES: dict[str, str] = {
     "op10_warc": """

@@ -97,12 +97,24 @@ def first_of_each(keys: np.ndarray) -> np.ndarray:
     return keep
 
 
+class Spans:
+    """Hashes of any spans of `data`: the same bytes have the same hash wherever they stand."""
+
+    def __init__(self, data: np.ndarray):
+        self.sums = np.zeros(len(data) + 1, _U)
+        np.cumsum(_CODE[data] * _power("up", _BASE, len(data)), out=self.sums[1:])
+        self.down = _power("down", _INVERSE, len(data) + 1)
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[start]) * self.down[start])
+
+
 class Words:
     """The words of a column of texts.
 
     `start`, `end`: bytes of each word; `doc`: row of each word; `first`: for
     each row the number of its first word, and the number of words at the end;
-    `hash`: 64 bits of each word.
+    `hash`: 64 bits of each word; `spans`: hashes of other spans of `data`.
     """
 
     def __init__(self, column: pa.Array, lower: bool = False):
@@ -123,18 +135,9 @@ class Words:
         self.start, self.end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, self.bounds)
         self.doc = np.repeat(np.arange(self.rows), np.diff(self.first))
-        self._sums: np.ndarray | None = None
+        self.spans = Spans(self.data)
         self.hash = self.spans(self.start, self.end)
 
-    def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """A hash of the bytes from each start up to each end."""
-        n = len(self.data)
-        if self._sums is None:
-            self._sums = np.zeros(n + 1, _U)
-            np.cumsum(_CODE[self.data] * _power("up", _BASE, n), out=self._sums[1:])
-        down = _power("down", _INVERSE, n + 1)
-        return mix((self._sums[end] - self._sums[start]) * down[start])
-
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
