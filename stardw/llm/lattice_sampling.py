@@ -39,13 +39,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stardw.llm.words import _SPACE, Spans, as_bytes, mix, slices
+from stardw.llm.words import _SPACE, HashIndex, Spans, as_bytes, mix, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SHARPNESS = 1.0
 SAMPLES = 2
 SLICE = 1 << 21
-TABLE = 1 << 19
 CACHE = 3 << 20
 # No uniform number of 53 bits gives a Gumbel draw above this.
 GREATEST = 36.8
@@ -99,38 +98,15 @@ class Lookup:
         data = np.frombuffer(b"".join(pieces.data[i] for i in ids), np.uint8)
         ends = np.cumsum([len(pieces.data[i]) for i in ids])
         starts = ends - [len(pieces.data[i]) for i in ids]
-        left, self.longest = Spans(data)(starts, ends), int((ends - starts).max())
-        self.levels = []
-        while len(left):
-            at = self._place(left, len(self.levels))
-            keys, values = np.zeros(TABLE, _U), np.full(TABLE, -1, np.int32)
-            keys[at], values[at] = left, ids
-            self.levels.append((keys, values))
-            missed = keys[at] != left
-            left, ids = left[missed], ids[missed]
-        # Also by the byte that ids decode to.
+        self.longest = int((ends - starts).max())
+        self.index, self.ids = HashIndex(Spans(data)(starts, ends)), np.append(ids, np.int32(-1))
         self.log_prob, self.byte_id = pieces.log_prob, pieces.byte_id
         self.size = np.array([len(d) for d in pieces.data])
         self.bytes_first = np.cumsum(self.size) - self.size
         self.bytes = np.frombuffer(b"".join(pieces.data), np.uint8)
 
-    @staticmethod
-    def _place(hashes: np.ndarray, level: int) -> np.ndarray:
-        return ((hashes >> _U(19 * level)) & _U(TABLE - 1)).view(np.int64)
-
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        found, left = np.full(len(hashes), -1, np.int32), None
-        for level, (keys, values) in enumerate(self.levels):
-            some = hashes if left is None else hashes[left]
-            at = self._place(some, level)
-            value, hit = values[at], keys[at] == some
-            if left is None:
-                found[hit] = value[hit]
-                left = np.flatnonzero(~hit & (value >= 0))
-            else:
-                found[left[hit]] = value[hit]
-                left = left[~hit & (value >= 0)]
-        return found
+        return self.ids[self.index(hashes)]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of a sequence of ids."""

@@ -173,3 +173,44 @@ class Words:
             order = np.argsort(row[keep], kind="stable")
             return row[keep][order], value[keep][order]
         return row[keep], value[keep]
+
+
+class HashIndex:
+    """The place of a 64-bit hash in a list of distinct hashes, -1 for others.
+
+    Each level is a table in which a hash stands at a place given by its own
+    bits; hashes that lose their place to another go on to the next level.
+    """
+
+    def __init__(self, hashes: np.ndarray):
+        self.bits = max(8, int(len(hashes)).bit_length() + 3)
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        left, number = hashes, np.arange(len(hashes), dtype=np.int32)
+        while len(left):
+            at = self._place(left, len(self.levels))
+            keys, values = np.zeros(1 << self.bits, _U), np.full(1 << self.bits, -1, np.int32)
+            keys[at], values[at] = left, number
+            self.levels.append((keys, values))
+            lost = values[at] != number
+            left, number = left[lost], number[lost]
+            if len(self.levels) > 60:
+                raise ValueError("hashes of an index must be distinct")
+
+    def _place(self, hashes: np.ndarray, level: int) -> np.ndarray:
+        spread = hashes if not level else mix(hashes + _U(level))
+        return (spread >> _U(64 - self.bits)).view(np.int64)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        found, left = np.full(len(hashes), -1, np.int32), None
+        for level, (keys, values) in enumerate(self.levels):
+            some = hashes if left is None else hashes[left]
+            at = self._place(some, level)
+            value, hit = values[at], keys[at] == some
+            hit &= value >= 0
+            if left is None:
+                found[hit] = value[hit]
+                left = np.flatnonzero(~hit & (value >= 0))
+            else:
+                found[left[hit]] = value[hit]
+                left = left[~hit & (value >= 0)]
+        return found
