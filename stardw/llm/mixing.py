@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stardw.llm.tables import stored
+from stardw.llm.tables import running_sum, stored
 
 BLOCK = 512
 REPEATS = 3
@@ -81,23 +81,6 @@ def targets(sources: DataFrame, repeats: int = REPEATS) -> DataFrame:
     )
 
 
-def _summed(rows: DataFrame, group: str, bucket: str, order: list, value: str, into: str) -> DataFrame:
-    """`rows` with the sum of `value` over all rows before it in its group, in two steps."""
-    sums = rows.groupBy(group, bucket).agg(F.sum(value).alias("_sum"))
-    over = Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        F.col(group).alias("_group"), F.col(bucket).alias("_at_bucket"),
-        F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_offset"),
-    )
-    inside = Window.partitionBy(group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        rows.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-        .join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col(bucket) == F.col("_at_bucket")))
-        .withColumn(into, F.col("_inside") + F.col("_offset"))
-        .drop("_inside", "_offset", "_group", "_at_bucket")
-    )
-
-
 def schedule(shares: DataFrame, block: int = BLOCK) -> DataFrame:
     """Slots in order: `slot`, `rank` of its source (the block it takes), `sid` the source's number."""
     spark = shares.sparkSession
@@ -120,7 +103,7 @@ def schedule(shares: DataFrame, block: int = BLOCK) -> DataFrame:
     dealt = points.join(spans, "_part").filter(
         (F.col("_point") >= F.col("low")) & (F.col("_point") < F.col("high"))
     ).select("slot", "sid", "quota", F.lit(1).alias("_one"), (F.col("slot") / STRIDE).cast("long").alias("_chunk"))
-    ranked = _summed(dealt, "sid", "_chunk", ["slot"], "_one", "rank").filter(
+    ranked = running_sum(dealt, "sid", "_chunk", ["slot"], "_one", "rank").filter(
         F.col("rank") * block < F.col("quota")
     ).select("slot", "sid", "rank")
     taken = ranked.groupBy("sid").agg(F.count("*").alias("_n"))
@@ -145,7 +128,7 @@ def pieces(sized: DataFrame, shares: DataFrame, block: int = BLOCK, seed: int =
         shares.select(F.col("source").alias("_source"), "sid", "source_size", "quota"),
         F.col("source").eqNullSafe(F.col("_source")),
     ).drop("source", "_source").withColumn("_bucket", F.pmod(F.shiftrightunsigned("_hash", 20), F.lit(BUCKETS)))
-    placed = _summed(keyed, "sid", "_bucket", ["_hash", "key", "size", "copy"], "size", "_at")
+    placed = running_sum(keyed, "sid", "_bucket", ["_hash", "key", "size", "copy"], "size", "_at")
     again = placed.filter("quota > 0").withColumn(
         "pass", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1) / F.col("source_size"))))
     ).withColumn("_from", F.col("pass") * F.col("source_size") + F.col("_at"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, maxent_lm, mixing, partenum, perfect_dedup, warc
+from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, maxent_lm, mixing, partenum, perfect_dedup, training_order, warc
 from stardw.llm.tables import stored, table
 from stardw.session import work_folder
 
@@ -36,6 +36,12 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(documents).withColumnRenamed("key", "doc_id")
 
 
+def op3_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    placed = training_order.write(documents, work_folder(spark, "op3-shards"))
+    return stored(placed, "op3-placed").withColumnRenamed("key", "doc_id")
+
+
 def op4_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return maxent_lm.score(documents).withColumnRenamed("key", "doc_id")
@@ -70,7 +76,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in [
-    op1_lattice_sampling, op2_mixing, op4_maxent_lm, op5_partenum, op6_perfect_dedup, op7_line_blocks,
+    op1_lattice_sampling, op2_mixing, op3_training_order, op4_maxent_lm, op5_partenum, op6_perfect_dedup, op7_line_blocks,
     op8_adaptive_rules, op10_warc,
 ]}
 

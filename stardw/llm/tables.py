@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stardw.session import work_folder
@@ -47,3 +47,24 @@ def spread_join(rows: DataFrame, lookup: DataFrame, key: str, size: str, total:
     return rows.join(hot, key).unionByName(
         rows.join(hot.select(key), key, "left_anti").join(usual, key)
     )
+
+
+def running_sum(rows: DataFrame, group: str, bucket: str, order: list, value: str, into: str) -> DataFrame:
+    """`rows` with the sum of `value` over all rows before it in its group.
+
+    In two steps, over the buckets of a group and inside each bucket, so that
+    a large group is not summed in one task.
+    """
+    sums = rows.groupBy(group, bucket).agg(F.sum(value).alias("_sum"))
+    over = Window.partitionBy(group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        F.col(group).alias("_group"), F.col(bucket).alias("_at_bucket"),
+        F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_offset"),
+    )
+    inside = Window.partitionBy(group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        rows.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        .join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col(bucket) == F.col("_at_bucket")))
+        .withColumn(into, F.col("_inside") + F.col("_offset"))
+        .drop("_inside", "_offset", "_group", "_at_bucket")
+    )
