@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, maxent_lm, mixing, partenum, perfect_dedup, training_order, warc
+from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, maxent_lm, mixing, partenum, perfect_dedup, secret_forest, training_order, warc
 from stardw.llm.tables import stored, table
 from stardw.session import work_folder
 
@@ -64,6 +64,14 @@ def op6_perfect_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return secret_forest.scan(documents).select(
+        F.col("key").alias("doc_id"), "at", F.sha2("value", 256).alias("value_sha256"),
+        F.length("value").alias("value_chars"), "label", "held_out", "probability", "is_secret",
+    )
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     found = warc.round_trip(pages, work_folder(spark, "op10-archive"))
@@ -77,7 +85,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in [
     op1_lattice_sampling, op2_mixing, op3_training_order, op4_maxent_lm, op5_partenum, op6_perfect_dedup, op7_line_blocks,
-    op8_adaptive_rules, op10_warc,
+    op8_adaptive_rules, op9_secret_forest, op10_warc,
 ]}
 
 ORACLES: dict[str, str] = {
