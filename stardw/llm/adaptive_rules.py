@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stardw.llm.tables import fresh
+from stardw.llm.tables import fresh, unused
 from stardw.llm.words import Words, first_of_each, mix, slices
 
 SYMBOLS = b"#*$%&|<>"
@@ -123,7 +123,7 @@ def fences(
     measures: DataFrame, by: tuple[str, str] = ("lang", "source"), into: str = "quality",
     reach: float = REACH, least_group: int = LEAST_GROUP,
 ) -> DataFrame:
-    """One row per language and source: columns `_lang`, `_source` and a cutoff of each ratio."""
+    """One row per language and source: columns `lang`, `source` and the greatest value of each ratio."""
     names = list(LEAST_SPREAD)
     ratios = _ratios(into)
     groups = (
@@ -152,7 +152,7 @@ def fences(
         low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
         return high + reach * F.greatest(high - low, F.lit(LEAST_SPREAD[n]))
 
-    return wide.select("_lang", "_source", *[cutoff(n).alias(f"_max_{n}") for n in names])
+    return wide.select(F.col("_lang").alias("lang"), F.col("_source").alias("source"), *[cutoff(n).alias(n) for n in names])
 
 
 def verdicts(
@@ -162,15 +162,17 @@ def verdicts(
     """`measures` with two booleans: failed the base rule, and is to be kept."""
     words, repeats = F.col(f"{into}.n_words"), F.col(f"{into}.n_repeat_words")
     failed = (words < 10) | (100 * repeats > 20 * words)
+    p = unused(measures)
+    limits = cutoffs.select(*[F.col(c).alias(p + c) for c in cutoffs.columns])
     joined = measures.join(
-        cutoffs,
-        F.col(by[0]).eqNullSafe(F.col("_lang")) & F.col(by[1]).eqNullSafe(F.col("_source")),
+        limits,
+        F.col(by[0]).eqNullSafe(F.col(f"{p}lang")) & F.col(by[1]).eqNullSafe(F.col(f"{p}source")),
         "left",
     )
     inside = F.lit(True)
     for name, ratio in _ratios(into).items():
-        inside = inside & (ratio <= F.coalesce(F.col(f"_max_{name}"), F.lit(float("inf"))))
-    return joined.withColumn(base_failed, failed).withColumn(kept, ~failed & inside).drop(*cutoffs.columns)
+        inside = inside & (ratio <= F.coalesce(F.col(p + name), F.lit(float("inf"))))
+    return joined.withColumn(base_failed, failed).withColumn(kept, ~failed & inside).drop(*limits.columns)
 
 
 def keep_good(documents: DataFrame) -> DataFrame:

@@ -306,7 +306,7 @@ class Texts:
                 used = (*used, edge)
                 rest = 1.0 - math.fsum(float(self.lattice.share[e]) for e in used)
                 if len(used) < self.lattice.count[state] and rest > 0:
-                    draw = float(self._rest(r, at, turn, before + math.log(rest), value[r]))
+                    draw = float(self._rest(np.array([r]), np.array([at]), turn, before + math.log(rest), value[r])[0])
                     heapq.heappush(queues[r], (-draw, at, path, used, before))
                 step = int(self.lattice.length[edge])
                 if at + step < self.end[chunk]:
@@ -338,10 +338,9 @@ class Texts:
 
     def _rest(self, row, at, turn: int, location, limit):
         """A Gumbel draw at `location` that is at most `limit`."""
-        key = mix(self.seeds[row] + _U(turn * 0x589965CC75374CC3 % 2**64)) ^ (
-            np.asarray(at - self.bounds[row]).astype(_U) * _U(0x1D8E4E27C47D124F))
-        loss = np.log(-np.log(_uniform(np.atleast_1d(key))))
-        return -np.logaddexp(-limit, loss - location) if np.ndim(location) else -np.logaddexp(-limit, loss[0] - location)
+        place = (at - self.bounds[row]).astype(_U)
+        key = mix(self.seeds[row] + _U(turn * 0x589965CC75374CC3 % 2**64)) ^ (place * _U(0x1D8E4E27C47D124F))
+        return -np.logaddexp(-limit, np.log(-np.log(_uniform(key))) - location)
 
     def _queue(self, queues, edges, value, start, path: int, k: int) -> None:
         """Put the other edges along the new paths, from `start` on, into the rows' queues.

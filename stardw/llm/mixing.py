@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stardw.llm.tables import running_sum, stored
+from stardw.llm.tables import running_sum, stored, unused
 
 BLOCK = 512
 REPEATS = 3
@@ -190,18 +190,20 @@ def materialised(documents: DataFrame) -> DataFrame:
 
     Rows that the mix does not reach go; equal rows share their number of reads.
     """
-    reads = stored(
+    p = unused(documents)
+    key, source, size, reads = (f"{p}{c}" for c in ("key", "source", "size", "reads"))
+    often = stored(
         taken(documents).filter("taken > 0").groupBy("key", "source", "size")
-        .agg(F.ceil(F.avg("taken") / F.first("size")).cast("int").alias("_reads"))
-        .select(F.col("key").alias("_key"), F.col("source").alias("_source"), F.col("size").alias("_size"), "_reads"),
+        .agg(F.ceil(F.avg("taken") / F.col("size")).cast("int").alias(reads))
+        .select(F.col("key").alias(key), F.col("source").alias(source), F.col("size").alias(size), reads),
         "op2-reads",
     )
     return (
         documents.join(
-            reads,
-            F.col("doc_id").eqNullSafe(F.col("_key")) & F.col("source").eqNullSafe(F.col("_source"))
-            & (n_words(F.col("text")) == F.col("_size")),
+            often,
+            F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(source))
+            & (n_words(F.col("text")) == F.col(size)),
         )
-        .withColumn("_read", F.explode(F.sequence(F.lit(1), F.col("_reads"))))
-        .select(*[documents[c] for c in documents.columns])
+        .withColumn(f"{p}read", F.explode(F.sequence(F.lit(1), F.col(reads))))
+        .drop(key, source, size, reads, f"{p}read")
     )

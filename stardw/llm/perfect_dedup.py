@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stardw.llm.tables import fresh, spread_join, stored
+from stardw.llm.tables import spread_join, stored, unused
 from stardw.llm.words import mix
 
 SHARD = 20_000
@@ -189,19 +189,15 @@ def keep_first(documents: DataFrame) -> DataFrame:
 
     Of rows that share both the smallest id and the text, one stays.
     """
-    digest = fresh(documents, "digest")
-    judged = deduplicate(documents)
-    dropped = (
-        judged.filter(~F.col("key").eqNullSafe(F.col("keep")))
-        .select("key", F.col("digest").alias("_d")).distinct()
-    )
-    again = (
-        judged.groupBy("key", F.col("digest").alias("_d")).count().filter("count > 1").drop("count")
-    )
+    p = unused(documents)
+    digest, names = f"{p}own", [F.col("key").alias(f"{p}key"), F.col("digest").alias(f"{p}digest")]
+    judged = stored(deduplicate(documents), "op6-judged")
+    dropped = judged.filter(~F.col("key").eqNullSafe(F.col("keep"))).select(*names).distinct()
+    again = judged.groupBy("key", "digest").count().filter("count > 1").select(*names)
     marked = documents.withColumn(
         digest, F.unhex(F.sha2(F.encode(normalised(F.col("text")), "utf-8"), 256))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("key")) & (F.col(digest) == F.col("_d"))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{p}key")) & (F.col(digest) == F.col(f"{p}digest"))
     kept = marked.join(dropped, same, "left_anti")
     once = kept.join(again, same, "left_anti")
     if not again.isEmpty():

@@ -32,6 +32,14 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def unused(df: DataFrame) -> str:
+    """A prefix that no column of `df` begins with."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 HOT_SHARE = 1000
 
 
