@@ -37,9 +37,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stardw.llm.components import components
-from stardw.llm.tables import fresh, spread_join, stored
+from stardw.llm.tables import spread_join, stored, unused
 from stardw.llm.words import Words, mix, run_sums, slices
 
 DENSITY = 0.4
@@ -69,17 +70,8 @@ def _sets(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.n
 
 def nodes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row `key`, `n_shingles` and `node`, a hash of its set."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                _, _, size, node = _sets(part, "text")
-                yield pa.RecordBatch.from_pydict({
-                    "key": part.column("key").cast(pa.int64()),
-                    "n_shingles": pa.array(size.astype(np.int64)), "node": pa.array(node.view(np.int64)),
-                })
-
     rows = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "key bigint, n_shingles bigint, node bigint")
+    return with_nodes(rows, "node", "n_shingles").drop("text")
 
 
 def _band(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -394,10 +386,14 @@ def _blocks(family: DataFrame, queries: DataFrame) -> DataFrame:
         )
 
     members = dealt(family, "ways", "asks", "block", "ask")
-    asking = dealt(queries, "asks", "ways", "ask", "block")
-    keys = ["root", "block", "ask"]
-    return members.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(
-        lambda left, right: _compare(left, right), "a bigint, b bigint"
+    # Other names, as both sides come from one table.
+    asking = dealt(queries, "asks", "ways", "ask", "block").toDF("of", "asked", "wanted", "asks", "blocks")
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return _compare(left, right.rename(columns={"asked": "node", "wanted": "shingles"}))
+
+    return members.groupBy("root", "block", "ask").cogroup(asking.groupBy("of", "blocks", "asks")).applyInPandas(
+        compare, "a bigint, b bigint"
     )
 
 
@@ -444,7 +440,10 @@ def deep_links(family: DataFrame) -> DataFrame | None:
 
 
 def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row `key`, `n_shingles` and `component`, the smallest key reachable by links."""
+    """Per row `key`, `n_shingles` and `component`, the smallest key reachable by links.
+
+    Also `node`, the row's set, and `best`, the set of the row with that smallest key.
+    """
     rows = stored(nodes(documents, key, text), "op5-nodes")
     total, shingles = rows.agg(F.count("*"), F.sum("n_shingles")).first()
     texts = documents.select(F.col(text).alias("text"))
@@ -461,22 +460,50 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     first = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("key").alias("first"), F.count("*").alias("n"))
     placed = first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = stored(placed, "op5-placed")
-    lowest = placed.groupBy("root").agg(F.min("first").alias("component"), F.count("*").alias("members"))
-    named = spread_join(placed, lowest, "root", "members", total).select("node", "component", "n")
+    best = F.min(F.struct(F.col("first").isNull().alias("none"), "first", "node")).alias("best")
+    lowest = placed.groupBy("root").agg(best, F.count("*").alias("members")).select(
+        "root", F.col("best.first").alias("component"), F.col("best.node").alias("best"), "members"
+    )
+    named = spread_join(placed, lowest, "root", "members", total).select("node", "component", "best", "n")
     known = spread_join(rows.filter("n_shingles > 0"), stored(named, "op5-named"), "node", "n", total)
-    alone = rows.filter("n_shingles = 0").withColumn("component", F.col("key"))
-    columns = ["key", "n_shingles", "component"]
+    alone = rows.filter("n_shingles = 0").withColumn("component", F.col("key")).withColumn("best", F.col("node"))
+    columns = ["key", "n_shingles", "component", "node", "best"]
     return known.select(*columns).unionByName(alone.select(*columns))
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """The rows of `documents` without those linked to a row with a smaller id.
+    """One row of `documents` for each group of linked rows, that with the smallest id.
 
-    Rows of one group that share the smallest id all stay, as do texts without shingles.
+    Texts without shingles are linked with nothing and stay; of rows that share
+    both the smallest id and the set of shingles one stays.
     """
-    judged = classes(documents)
-    dropped = judged.filter(~F.col("key").eqNullSafe(F.col("component"))).select(
-        F.col("key").alias(fresh(documents, "key"))
-    ).distinct()
-    name = dropped.columns[0]
-    return documents.join(dropped, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    p = unused(documents)
+    node, size = f"{p}own", f"{p}size"
+    judged = stored(classes(documents), "op5-classes")
+    linked = judged.filter("n_shingles > 0")
+    stays = F.col("key").eqNullSafe(F.col("component")) & (F.col("node") == F.col("best"))
+    names = [F.col("key").alias(f"{p}key"), F.col("node").alias(f"{p}node")]
+    dropped = linked.filter(~stays).select(*names).distinct()
+    again = linked.filter(stays).groupBy("key", "node").count().filter("count > 1").select(*names)
+    marked = with_nodes(documents, node, size)
+    same = F.col("doc_id").eqNullSafe(F.col(f"{p}key")) & (F.col(node) == F.col(f"{p}node"))
+    empty = marked.filter(F.col(size) == 0)
+    kept = marked.filter(F.col(size) > 0).join(dropped, same, "left_anti")
+    once = kept.join(again, same, "left_anti")
+    if not again.isEmpty():
+        once = once.unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", node]))
+    return once.unionByName(empty).drop(node, size)
+
+
+def with_nodes(documents: DataFrame, node: str, size: str, text: str = "text") -> DataFrame:
+    """`documents` with the hash of each row's set and the size of the set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                _, _, n, name = _sets(part, text)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(name.view(np.int64)), pa.array(n.astype(np.int64))],
+                    [*part.schema.names, node, size])
+
+    fields = [T.StructField(node, T.LongType()), T.StructField(size, T.LongType())]
+    return documents.mapInArrow(run, T.StructType([*documents.schema.fields, *fields]))

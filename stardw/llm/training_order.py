@@ -232,6 +232,14 @@ def _pieces(placed: DataFrame, size: int, seed: int, kind: type) -> DataFrame:
     return placed.select("begin", "docs", "counts", "data").mapInArrow(run, "shard bigint, data binary")
 
 
+def _digests(ids: np.ndarray, n: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the ids of each piece and of their places in the sequence."""
+    turn = (np.arange(len(ids)) % LENGTH).astype(_U) * _U(0x9E3779B97F4A7C15)
+    sums = np.zeros(len(ids) + 1, _U)
+    np.cumsum(mix(ids.astype(_U) + turn), out=sums[1:])
+    return mix(sums[begin + n] - sums[begin])
+
+
 def write(
     documents: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
     ranks: str = RANKS, seed: int = SEED,
@@ -277,15 +285,17 @@ def write(
         with fs.open_input_stream(final, compression=None) as back:
             body = np.frombuffer(back.read(), kind)
         piece = np.concatenate(pieces)
+        piece = piece[np.lexsort((piece["at"], piece["slot"]))]
         begin = (piece["slot"] - number * SHARD) * LENGTH + piece["at"]
-        turn = (np.arange(len(body)) % LENGTH).astype(_U) * _U(0x9E3779B97F4A7C15)
-        sums = np.zeros(len(body) + 1, _U)
-        np.cumsum(mix(body.astype(_U) + turn), out=sums[1:])
-        digest = mix(sums[begin + piece["n"]] - sums[begin]).view(np.int64)
+        digest = np.concatenate([
+            _digests(body[low:low + (LENGTH << 9)], piece["n"][a:b], begin[a:b] - low)
+            for low in range(0, len(body), LENGTH << 9)
+            for a, b in [np.searchsorted(begin, (low, low + (LENGTH << 9)))]
+        ])
         return pa.table({
             "key": pa.array(piece["doc"], mask=piece["null"].astype(bool)), "slot": pa.array(piece["slot"]),
             "shard": pa.array(np.full(len(piece), number)), "offset": pa.array(begin * np.dtype(kind).itemsize),
-            "n_tokens": pa.array(piece["n"]), "digest": pa.array(digest),
+            "n_tokens": pa.array(piece["n"]), "digest": pa.array(digest.view(np.int64)),
         })
 
     return _pieces(placed, size, seed, kind).groupBy("shard").applyInArrow(shard, schema)

@@ -183,12 +183,13 @@ class HashIndex:
     """
 
     def __init__(self, hashes: np.ndarray):
-        self.bits = max(8, int(len(hashes)).bit_length() + 3)
+        self.hashes = hashes
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         left, number = hashes, np.arange(len(hashes), dtype=np.int32)
         while len(left):
-            at = self._place(left, len(self.levels))
-            keys, values = np.zeros(1 << self.bits, _U), np.full(1 << self.bits, -1, np.int32)
+            size = 1 << max(8, len(left).bit_length() + 2)
+            at = self._place(left, len(self.levels), size)
+            keys, values = np.zeros(size, _U), np.full(size, -1, np.int32)
             keys[at], values[at] = left, number
             self.levels.append((keys, values))
             lost = values[at] != number
@@ -196,15 +197,19 @@ class HashIndex:
             if len(self.levels) > 60:
                 raise ValueError("hashes of an index must be distinct")
 
-    def _place(self, hashes: np.ndarray, level: int) -> np.ndarray:
+    def __reduce__(self):
+        return HashIndex, (self.hashes,)  # tables are made anew where the index is used
+
+    @staticmethod
+    def _place(hashes: np.ndarray, level: int, size: int) -> np.ndarray:
         spread = hashes if not level else mix(hashes + _U(level))
-        return (spread >> _U(64 - self.bits)).view(np.int64)
+        return (spread & _U(size - 1)).view(np.int64)
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
         found, left = np.full(len(hashes), -1, np.int32), None
         for level, (keys, values) in enumerate(self.levels):
             some = hashes if left is None else hashes[left]
-            at = self._place(some, level)
+            at = self._place(some, level, len(keys))
             value, hit = values[at], keys[at] == some
             hit &= value >= 0
             if left is None:

@@ -41,8 +41,9 @@ def as_of_join(
     With `how="left"` facts without a version are kept. Very large sides are
     split by adaptive execution; `hot` (from `skew.hot_keys`, on the member, or
     on member and day for `lookup`) splits hot keys explicitly, by the grain
-    columns `spread_by`. `span` (from `year_span`) says which years the facts
-    touch; without it the bucket form reads the facts' days once more.
+    columns `spread_by`. `span` (from `years_of`) lists the years the facts
+    touch; without it the bucket form reads the facts' days once more. Versions
+    are filed only under those years, so a stray day far away adds one year.
     """
     if form not in ("range", "bucket", "lookup"):
         raise ValueError(f"unknown form {form!r}")
@@ -58,12 +59,11 @@ def as_of_join(
 
     on = [key]
     if form == "bucket":
-        span = year_span(facts, day) if span is None else span
-        first = F.greatest(F.year("_from"), span["lo"])
-        last = F.least(F.year("_to"), span["hi"])
-        slim = slim.filter(first <= last).withColumn(
-            "_year", F.explode(F.sequence(first, last))
+        span = years_of(facts, day) if span is None else span
+        touched = F.filter(
+            span, lambda y: (y >= F.year(F.col("_from"))) & (y <= F.year(F.col("_to")))
         )
+        slim = slim.withColumn("_year", F.explode(touched))
         facts = facts.withColumn("_year", F.year(day))
         on = [key, "_year"]
 
@@ -73,17 +73,13 @@ def as_of_join(
         right = slim.withColumnsRenamed({c: f"_r_{c}" for c in on})
         equal = [F.col(c) == F.col(f"_r_{c}") for c in on]
         return facts.join(right, [*equal, valid], how).drop(*[f"_r_{c}" for c in on], *extra)
-    if how != "inner":
-        raise ValueError("hot members can be split for inner joins only")
     spread = spread_by or [c for c in facts.columns if c != "_year"]
-    return join_split(facts, slim, on, hot, spread).filter(valid).drop(*extra)
+    return join_split(facts, slim, on, hot, spread, how, valid).drop(*extra)
 
 
-def year_span(facts: DataFrame, day: str) -> Column:
-    """First and last year of a column of days, as one value."""
-    return facts.agg(
-        F.struct(F.min(F.year(day)).alias("lo"), F.max(F.year(day)).alias("hi"))
-    ).scalar()
+def years_of(facts: DataFrame, day: str) -> Column:
+    """The distinct years of a column of days, as one array: 10,000 at most."""
+    return facts.agg(F.array_sort(F.collect_set(F.year(day)))).scalar()
 
 
 def _lookup(
@@ -115,9 +111,12 @@ def current_join(
 
 
 def unmatched(
-    facts: DataFrame, versions: DataFrame, key: str, day: str, span: Column | None = None
+    facts: DataFrame, versions: DataFrame, key: str, day: str, span: Column | None = None,
+    hot: DataFrame | None = None, spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Facts no version covers: what an inner point-in-time join leaves out."""
     marked = versions.withColumn("_found", F.lit(True))
-    tested = as_of_join(facts, marked, key, day, ["_found"], how="left", span=span)
+    tested = as_of_join(
+        facts, marked, key, day, ["_found"], how="left", span=span, hot=hot, spread_by=spread_by
+    )
     return tested.filter(F.col("_found").isNull()).drop("_found")

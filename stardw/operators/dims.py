@@ -27,12 +27,12 @@ def with_parent(df: DataFrame, key: str, parent: str, name: str, out: str) -> Da
 
 
 def ordered_list(col: str, separator: str = ", "):
-    """Distinct trimmed values in order as one text.
+    """Trimmed values in order as one text; a value that occurs twice stands there twice.
 
     The group must be bounded by a reference table (names of territories of a
     member, not facts of a member), since the text is one value of one row.
     """
-    return F.array_join(F.array_sort(F.collect_set(F.trim(col))), separator)
+    return F.array_join(F.array_sort(F.collect_list(F.trim(col))), separator)
 
 
 def lookup(

@@ -8,9 +8,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stardw.functions import changed, date_key, days_between, late_flag, surrogate_key
+from stardw.functions import changed, date_key, days_between, fact_key, late_flag
 
-from .asof import as_of_join, year_span
+from .asof import as_of_join, years_of
 from .junk import assign_flags
 from .merge import insert_only, merge_rows
 
@@ -25,17 +25,21 @@ def sales_fact(
     employees: DataFrame,
     shippers: DataFrame,
     flags: DataFrame,
+    hot_customers: DataFrame | None = None,
+    hot_products: DataFrame | None = None,
 ) -> DataFrame:
     """Transactional fact on the grain of a line, with version keys as of the order date.
 
     Customer versions are resolved on the orders, before the lines multiply
     them. Inner joins: a line without a version is left out and shows up in
-    `asof.unmatched`.
+    `asof.unmatched`. `hot_customers` and `hot_products` (from `skew.hot_keys`)
+    split members that hold a large share of the rows.
     """
-    years = year_span(orders, "order_date")
+    years = years_of(orders, "order_date")
     headers = as_of_join(
         orders.select("order_id", "customer_id", "order_date", "ship_via"),
         customers, "customer_id", "order_date", ["customer_sk"], span=years,
+        hot=hot_customers, spread_by=["order_id"],
     ).join(
         shippers.select(F.col("shipper_id").alias("ship_via"), "shipper_sk"), "ship_via"
     )
@@ -43,10 +47,11 @@ def sales_fact(
         employees.select("employee_id", "employee_sk"), "employee_id"
     )
     priced = as_of_join(
-        sold, products, "product_id", "order_date", ["product_sk"], span=years
+        sold, products, "product_id", "order_date", ["product_sk"], span=years,
+        hot=hot_products, spread_by=SALES_GRAIN,
     )
     return assign_flags(priced, flags).select(
-        surrogate_key(*SALES_GRAIN).alias("sales_sk"),
+        fact_key(*SALES_GRAIN).alias("sales_sk"),
         *SALES_GRAIN,
         date_key(F.col("order_date")).alias("order_date_key"),
         "customer_sk", "product_sk", "employee_sk", "shipper_sk", "order_flags_sk",
@@ -60,13 +65,17 @@ def upsert_fact(target: DataFrame, source: DataFrame, grain: Sequence[str]) -> D
 
 
 def fulfillment_fact(
-    orders: DataFrame, customers: DataFrame, shippers: DataFrame, countries: DataFrame
+    orders: DataFrame, customers: DataFrame, shippers: DataFrame, countries: DataFrame,
+    hot_customers: DataFrame | None = None,
 ) -> DataFrame:
     """Accumulating snapshot: one row per order, filled as milestones arrive.
 
     Everything that depends on the shipped date is NULL while it is missing.
     """
-    placed = as_of_join(orders, customers, "customer_id", "order_date", ["customer_sk"])
+    placed = as_of_join(
+        orders, customers, "customer_id", "order_date", ["customer_sk"],
+        hot=hot_customers, spread_by=["order_id"],
+    )
     return (
         placed.join(countries.select("customer_id", "ship_country"), "customer_id")
         .join(
@@ -74,7 +83,7 @@ def fulfillment_fact(
             "ship_via", "left",
         )
         .select(
-            surrogate_key("order_id").alias("fulfillment_sk"),
+            fact_key("order_id").alias("fulfillment_sk"),
             "order_id", "customer_sk", "shipper_sk", *milestones(), "ship_country",
         )
     )
@@ -107,7 +116,7 @@ def stock_snapshot(state: DataFrame, day: Column, products: DataFrame) -> DataFr
     """State of every product stamped with a snapshot day."""
     stamped = state.withColumn("snapshot_date_key", date_key(day))
     return stamped.join(products, "product_id").select(
-        surrogate_key("snapshot_date_key", "product_sk").alias("stock_sk"),
+        fact_key("snapshot_date_key", "product_sk").alias("stock_sk"),
         "snapshot_date_key", "product_sk", "category_sk", "units_in_stock", "reorder_level",
         (F.col("units_in_stock") <= F.col("reorder_level")).alias("needs_reorder"),
     )
@@ -125,7 +134,7 @@ def copy_snapshot(stock: DataFrame, source_key: int, target_day: date) -> DataFr
     """Rows of one snapshot filed under another day."""
     return stock.filter(F.col("snapshot_date_key") == source_key).withColumn(
         "snapshot_date_key", date_key(F.lit(target_day))
-    ).withColumn("stock_sk", surrogate_key("snapshot_date_key", "product_sk"))
+    ).withColumn("stock_sk", fact_key("snapshot_date_key", "product_sk"))
 
 
 def drop_snapshot(stock: DataFrame, snapshot_key: int) -> DataFrame:
@@ -148,9 +157,11 @@ def snapshot_trend(stock: DataFrame) -> DataFrame:
     )
 
 
-def month_end_levels(movements: DataFrame, cap: int) -> DataFrame:
+def month_end_levels(movements: DataFrame) -> DataFrame:
     """Stock level of every product at every month end from its first movement on.
 
+    `quantity` is signed: what comes in is positive, what goes out negative.
+
     Movements are summed per product and month before the window, so a product
     has at most one row per month there. Months without movement repeat the
     last level: each row is repeated up to the next one, without a grid of all
@@ -165,7 +176,7 @@ def month_end_levels(movements: DataFrame, cap: int) -> DataFrame:
     run = monthly.select(
         "product_id",
         "month_end",
-        (F.sum("moved").over(by_month) % cap).cast("int").alias("units_in_stock"),
+        F.sum("moved").over(by_month).alias("units_in_stock"),
         F.coalesce(
             F.last_day(F.add_months(F.lead("month_end").over(by_month), -1)), final
         ).alias("_until"),

@@ -10,10 +10,20 @@ from pyspark.sql import functions as F
 from .merge import merge_rows
 
 
-def new_rows(source: DataFrame, target: DataFrame, mark: str) -> DataFrame:
-    """Source rows after the highest mark in the target; all rows if it is empty."""
+def new_rows(
+    source: DataFrame, target: DataFrame, mark: str, late_by: str | None = None
+) -> DataFrame:
+    """Source rows from the highest mark in the target on; all rows if it is empty.
+
+    Rows that carry the mark itself come again, since others with the same stamp
+    may have arrived after the last load: load them with `upsert_latest` or
+    `insert_only`, which a repeated row does not change. A row older than the
+    mark counts as late and is not loaded, unless `late_by` (an interval, such
+    as "2 days") reaches back to it.
+    """
     seen = target.agg(F.max(mark)).scalar()
-    return source.filter(seen.isNull() | (F.col(mark) > seen))
+    since = seen if late_by is None else seen - F.expr(f"interval {late_by}")
+    return source.filter(seen.isNull() | (F.col(mark) >= since))
 
 
 def latest_per_key(

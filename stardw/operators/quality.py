@@ -62,12 +62,12 @@ def expect_one_current(name: str, dim: DataFrame, key: str) -> DataFrame:
 
 
 def version_gaps(dim: DataFrame, key: str) -> DataFrame:
-    """Versions whose end is not the day before the next start."""
-    following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
-    return (
-        dim.select(key, "valid_from", "valid_to", following.alias("next_from"))
-        .filter(F.col("next_from").isNotNull())
-        .filter(F.date_add("valid_to", 1) != F.col("next_from"))
+    """Versions that end before they begin, or not on the day before the next start."""
+    following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from", "valid_to"))
+    inverted = F.col("valid_from") > F.col("valid_to")
+    apart = F.col("next_from").isNotNull() & (F.date_add("valid_to", 1) != F.col("next_from"))
+    return dim.select(key, "valid_from", "valid_to", following.alias("next_from")).filter(
+        inverted | F.coalesce(apart, F.lit(False))
     )
 
 

@@ -63,7 +63,12 @@ def scd2_apply(
     A member is new if it has no version at all. New members start on the load
     date unless `new_member_from` says otherwise. Members absent from the
     snapshot stay open unless `close_missing`; a closed member that returns is
-    then opened again.
+    then opened again, and a version that began on the load date itself is
+    removed and not closed, as it was never valid.
+
+    Loads must come in order: a version that begins after the load date, or a
+    closed one that ends on it or later and would be opened again, stops the
+    job whether the member differs or not.
     """
     attrs = [c for c in snapshot.columns if c != key]
     old = dim.select(
@@ -87,10 +92,7 @@ def scd2_apply(
     differs = current & F.col("_s_here") & any_changed(
         (F.col(f"_d_{c}"), F.col(f"_s_{c}")) for c in tracked
     )
-    in_order = F.when(
-        F.col("_d_valid_from") > today,
-        F.raise_error(F.lit(f"a version later than load date {load_date} exists")),
-    ).otherwise(F.lit(True))
+    too_late = F.raise_error(F.lit(f"a version later than load date {load_date} exists"))
 
     def row(
         from_snapshot: bool, start: Column, end: Column, is_current: Column, action: str,
@@ -120,11 +122,16 @@ def scd2_apply(
     arrived = row(True, first_seen, forever, yes, "inserted")
 
     result = F.when(F.col("_d_here").isNull(), F.array(arrived))
-    result = result.when(differs & in_order & (begin == today), F.array(replaced))
+    result = result.when(begin > today, F.array(F.when(too_late.isNotNull(), kept)))
+    result = result.when(differs & (begin == today), F.array(replaced))
     result = result.when(differs, F.array(closed, opened))
     if close_missing:
-        result = result.when(current & F.col("_s_here").isNull(), F.array(closed))
+        missing = current & F.col("_s_here").isNull()
+        result = result.when(missing & (begin == today), F.filter(F.array(kept), lambda _: F.lit(False)))
+        result = result.when(missing, F.array(closed))
         returns = F.col("_newest") & ~F.col("_open") & F.col("_s_here")
+        still_valid = returns & (F.col("_d_valid_to") >= today)
+        result = result.when(still_valid, F.array(F.when(too_late.isNotNull(), kept)))
         result = result.when(returns, F.array(kept, opened))
     return joined.select(F.inline(result.otherwise(F.array(kept))))
 
@@ -137,13 +144,15 @@ def scd2_history(
     order_by: Sequence[str] | None,
     sk: str,
     first_from: date | None = FIRST_DAY,
+    first_until: date | None = None,
 ) -> DataFrame:
     """Whole version history in one pass, equal to applying the days in turn.
 
     Events are first reduced to the last one per member and day (a partial
     aggregate runs before the shuffle), so the windows below see at most one
     row per member and day even if a member holds most of the events. Unless
-    `first_from` is None, the first version of a member starts there. Without
+    `first_from` is None, the first version of a member starts there, but only if
+    it was seen by `first_until`, where that is given. Without
     `order_by` the events must be one per member and day already.
     """
     if order_by is None:
@@ -162,7 +171,8 @@ def scd2_history(
     until = F.lead("_day").over(by_day)
     start = F.col("_day")
     if first_from is not None:
-        start = F.when(F.col("_first"), F.lit(first_from)).otherwise(start)
+        early = F.col("_first") if first_until is None else F.col("_first") & (start <= F.lit(first_until))
+        start = F.when(early, F.lit(first_from)).otherwise(start)
     return points.withColumn("_until", until).select(
         surrogate_key(F.col(key), start).alias(sk),
         key,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,16 @@ def history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG).option("recursiveFileLookup", True).parquet(f"{path}/log")
 
 
+def any_version(spark: SparkSession, path: str) -> bool:
+    """Whether a version has been published."""
+    try:
+        return not history(spark, path).isEmpty()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:
     return spark.read.parquet(f"{path}/data/version={version}")
 

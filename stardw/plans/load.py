@@ -36,7 +36,7 @@ def run_step(
         # Counted from the file footers, once the table is complete.
         rows = table(spark, folder, name).count()
     except Exception as error:
-        status, message = "error", str(error)[:2000]
+        status, message = "error", str(error)
         raise
     finally:
         entry = spark.createDataFrame(

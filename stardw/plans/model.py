@@ -7,21 +7,21 @@ scan, so sums do not depend on the order of rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stardw.functions import divide_half_up, ship_mode, surrogate_key, to_decimal, units
+from stardw.functions import FIRST_DAY, divide_half_up, ship_mode, surrogate_key, to_decimal, units
 from stardw.operators import bridge, dims, facts, incremental, junk, scd
 from stardw.operators.dims import keyed_dimension
+from stardw.session import work_folder
 from stardw.sources import conform, date_series, projected, read_table
 from stardw.sources.contracts import RAW
 
-# Fixed values of the binding, repeated in the SQL next to each query.
-LOAD_DATES = [date(1997, 1, 1), date(1998, 1, 1), date(1999, 1, 1)]
+# A fixed value of the binding, repeated in the SQL next to each query.
 DAYS_TO_REQUIRED = 60
-STOCK_CAP = 100
 
 
 class Model:
@@ -29,6 +29,7 @@ class Model:
         self.spark = spark
         self.folder = folder
         self._tables: dict[str, DataFrame] = {}
+        self._loads: list[date] | None = None
 
     def given(self, name: str) -> DataFrame:
         """A given table; files are listed and the schema is read once per model."""
@@ -198,17 +199,45 @@ class Model:
             ["customer_id"], ["order_date", "order_id"],
         ).select("customer_id", "priority", "status")
 
-    def dim_customer_loads(self, **options) -> DataFrame:
+    def load_dates(self) -> list[date]:
+        """A load on the first day of each year that follows a year of orders."""
+        if self._loads is None:
+            year = F.year("order_date")
+            low, high = self.orders().agg(F.min(year), F.max(year)).first()
+            self._loads = [] if low is None else [date(y, 1, 1) for y in range(low + 1, high + 2)]
+        return self._loads
+
+    def in_turn(self, first: Callable[[date], DataFrame], then: Callable[[DataFrame, date], DataFrame]):
+        """One load after the other; each state is written, so that no plan holds all of them."""
+        days = self.load_dates()
+        state = self.written(first(days[0]))
+        for day in days[1:]:
+            state = self.written(then(state, day))
+        return state
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = work_folder(self.spark, "load")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def dim_customer_applied(self, **options) -> DataFrame:
         """Customer versions from snapshots applied one after the other."""
-        dim = scd.scd2_initial(
-            self.customer_snapshot(LOAD_DATES[0]), "customer_id", "customer_sk"
+        return self.in_turn(
+            lambda day: scd.scd2_initial(self.customer_snapshot(day), "customer_id", "customer_sk"),
+            lambda dim, day: scd.scd2_apply(
+                dim, self.customer_snapshot(day), "customer_id", ["priority", "status"], day,
+                "customer_sk", **options,
+            ).drop("_action"),
+        )
+
+    def dim_customer_loads(self) -> DataFrame:
+        """The same versions in one pass: orders filed under the load that sees them first."""
+        load = F.make_date(F.year("order_date") + 1, F.lit(1), F.lit(1))
+        return scd.scd2_history(
+            self.orders().withColumn("load_date", load), "customer_id", ["priority", "status"],
+            "load_date", ["order_date", "order_id"], "customer_sk",
+            first_from=FIRST_DAY, first_until=self.load_dates()[0],
         )
-        for load_date in LOAD_DATES[1:]:
-            dim = scd.scd2_apply(
-                dim, self.customer_snapshot(load_date), "customer_id",
-                ["priority", "status"], load_date, "customer_sk", **options,
-            ).drop("_action")
-        return dim
 
     def dim_customer(self) -> DataFrame:
         """Customer versions from the whole order history."""
@@ -234,12 +263,12 @@ class Model:
 
     def dim_customer_scd3(self) -> DataFrame:
         attrs = ["priority", "status"]
-        dim = scd.scd3_initial(self.customer_snapshot(LOAD_DATES[0]), "customer_id", attrs)
-        for load_date in LOAD_DATES[1:]:
-            dim = scd.scd3_apply(
-                dim, self.customer_snapshot(load_date), "customer_id", attrs, load_date
-            ).drop("_action")
-        return dim
+        return self.in_turn(
+            lambda day: scd.scd3_initial(self.customer_snapshot(day), "customer_id", attrs),
+            lambda dim, day: scd.scd3_apply(
+                dim, self.customer_snapshot(day), "customer_id", attrs, day
+            ).drop("_action"),
+        )
 
     def flags(self) -> DataFrame:
         return junk.flags_dimension(self.spark)
@@ -279,8 +308,11 @@ class Model:
         )
 
     def stock_levels(self) -> DataFrame:
-        moved = self.lines().select("product_id", F.col("ship_date").alias("moved_on"), "quantity")
-        return facts.month_end_levels(moved, STOCK_CAP)
+        """Lines with an even number bring stock in, the others take it out."""
+        signed = F.when(F.col("line_number") % 2 == 0, F.col("quantity")).otherwise(-F.col("quantity"))
+        return facts.month_end_levels(self.lines().select(
+            "product_id", F.col("ship_date").alias("moved_on"), signed.alias("quantity")
+        ))
 
     def fact_stock(self, product_dim: DataFrame | None = None) -> DataFrame:
         """Month-end stock, keyed by the current product versions (built if not given)."""
@@ -295,6 +327,16 @@ class Model:
         return facts.stock_snapshot(state, F.col("snapshot_day"), keys)
 
     def activity_events(self) -> DataFrame:
+        """Distinct days on which a member sold, for each territory the bridge gives the member.
+
+        Days are made distinct per member before the fan-out.
+        """
+        days = self.sales("order_date").select(
+            F.col("order_date").alias("activity_date"), "employee_id"
+        ).distinct()
+        return days.join(self.member_territories(), "employee_id")
+
+    def served_events(self) -> DataFrame:
         """Order day, member who sold, territory of the customer."""
         return (
             self.sales("customer_id", "order_date")

@@ -40,15 +40,14 @@ def monthly(sales: DataFrame) -> DataFrame:
     ).agg(F.sum("net").alias("net"))
 
 
-def by_year(sales: DataFrame, by: str, years: Sequence[int]) -> DataFrame:
-    """Net revenue with one column per year; the years are given, so no extra job."""
-    return (
-        sales.groupBy(by, F.year("order_date").alias("_year"))
-        .agg(F.sum("net").alias("net"))
-        .groupBy(by)
-        .pivot("_year", list(years))
-        .agg(F.sum("net"))
-    )
+def by_year(sales: DataFrame, by: str, years: Sequence[int] | None = None) -> DataFrame:
+    """Net revenue with one column per year that occurs.
+
+    The years are found by one more job over the totals; given `years` save it
+    and leave all others out.
+    """
+    totals = sales.groupBy(by, F.year("order_date").alias("_year")).agg(F.sum("net").alias("net"))
+    return totals.groupBy(by).pivot("_year", None if years is None else list(years)).agg(F.sum("net"))
 
 
 def revenue_by(sales: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -203,19 +202,40 @@ def territory_revenue(
     """Orders and net per territory through the bridge, plain and weighted.
 
     Plain sums count a sale once per territory of its member; weighted sums
-    add up to the total of the facts. Net is summed per member before the
-    fan-out. An order has lines of several members, so orders are counted
-    over the distinct pairs of member and order.
+    add up to the total of the facts, to the last unit: of the units (1/10000)
+    of a member, each of its `parts` territories gets the whole quotient and the
+    first ones in order of their key one unit of the remainder.
+
+    Net is summed per member before the fan-out. An order has lines of several
+    members, so it must count once per territory: members are first replaced by
+    the set of their territories, which many of them share, and orders are made
+    distinct per set. Only an order with several sets can meet a territory
+    twice, so that the distinct pairs of order and territory are few.
     """
-    pairs = sales.groupBy("employee_sk", "order_id").agg(F.sum("net").alias("net"))
-    per_member = pairs.groupBy("employee_sk").agg(F.sum("net").alias("net"))
-    revenue = per_member.join(bridge, "employee_sk").groupBy("territory_sk").agg(
-        F.sum("net").alias("net"),
-        F.sum(F.col("net") / F.col("parts")).alias("weighted_net"),
+    units = (F.col("net") * 10_000).cast("decimal(38,0)")
+    place = F.row_number().over(Window.partitionBy("employee_sk").orderBy("territory_sk"))
+    shares = bridge.withColumn("_place", place)
+    per_member = sales.groupBy("employee_sk").agg(F.sum("net").alias("net"))
+    quotient = F.expr("_units div parts")
+    part = quotient + F.when(
+        F.col("_place") <= F.col("_units") - quotient * F.col("parts"), 1
+    ).otherwise(0)
+    revenue = (
+        per_member.withColumn("_units", units.cast("bigint")).join(shares, "employee_sk")
+        .withColumn("_part", part)
+        .groupBy("territory_sk")
+        .agg(F.sum("net").alias("net"), (F.sum("_part").cast("decimal(22,0)") / 10_000)
+             .cast("decimal(22,4)").alias("weighted_net"))
     )
+    sets = bridge.groupBy("employee_sk").agg(F.array_sort(F.collect_list("territory_sk")).alias("_set"))
+    sets = sets.withColumn("_set_sk", F.xxhash64("_set"))
     orders = (
-        pairs.select("employee_sk", "order_id").join(bridge, "employee_sk")
-        .groupBy("territory_sk").agg(F.count_distinct("order_id").alias("orders"))
+        sales.select("employee_sk", "order_id").join(sets.select("employee_sk", "_set_sk"), "employee_sk")
+        .select("_set_sk", "order_id").distinct()
+        .join(sets.select("_set_sk", "_set").dropDuplicates(["_set_sk"]), "_set_sk")
+        .groupBy("order_id").agg(F.array_distinct(F.flatten(F.collect_list("_set"))).alias("_all"))
+        .select(F.explode("_all").alias("territory_sk"))
+        .groupBy("territory_sk").agg(F.count("*").alias("orders"))
     )
     return revenue.join(orders, "territory_sk").join(territories, "territory_sk")
 

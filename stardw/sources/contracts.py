@@ -92,19 +92,19 @@ WAREHOUSE = {
         current_status=TEXT, previous_status=TEXT, status_changed_on=DAY,
     ),
     "fact_sales": contract(
-        sales_sk=ID, order_id=ID, product_id=ID, employee_id=ID, line_number=NUMBER,
+        sales_sk=TEXT, order_id=ID, product_id=ID, employee_id=ID, line_number=NUMBER,
         order_date_key=NUMBER, customer_sk=ID, product_sk=ID, employee_sk=ID, shipper_sk=ID,
         order_flags_sk=ID, unit_price=PRODUCT, quantity=NUMBER, discount=RATE, gross=MONEY,
         net=PRODUCT,
     ),
     "fact_fulfillment": contract(
-        fulfillment_sk=ID, order_id=ID, customer_sk=ID, shipper_sk=ID, order_date_key=NUMBER,
+        fulfillment_sk=TEXT, order_id=ID, customer_sk=ID, shipper_sk=ID, order_date_key=NUMBER,
         required_date_key=NUMBER, shipped_date_key=NUMBER, ship_country=TEXT,
         days_to_ship=NUMBER, is_late=FLAG,
     ),
     "fact_stock": contract(
-        stock_sk=ID, snapshot_date_key=NUMBER, product_sk=ID, category_sk=ID,
-        units_in_stock=NUMBER, reorder_level=NUMBER, needs_reorder=FLAG,
+        stock_sk=TEXT, snapshot_date_key=NUMBER, product_sk=ID, category_sk=ID,
+        units_in_stock=ID, reorder_level=NUMBER, needs_reorder=FLAG,
     ),
     "fact_activity": contract(
         activity_date_key=NUMBER, employee_sk=ID, territory_sk=ID,

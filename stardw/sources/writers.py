@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,6 +14,9 @@ from stardw.session import work_folder
 
 from .contracts import conform
 
+# So many partitions at most are named in a filter.
+LISTED = 1000
+
 
 def full_load(df: DataFrame, path: str, schema: StructType | None = None) -> None:
     """Replace all rows of the table at `path`; columns are matched by name."""
@@ -23,13 +28,13 @@ def create_or_replace(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def by_period(df: DataFrame, period: str, ways: int = 16) -> DataFrame:
-    """Deal rows to tasks by period and row content.
+def by_period(df: DataFrame, period: str) -> DataFrame:
+    """Rows of a period together, in as many tasks as their size asks for.
 
-    Each period is written by at most `ways` tasks: few files per period, and
-    one large period does not end up in one task.
+    The rebalance is split and merged by adaptive execution: small periods take
+    one file, and a large one is not written by one task.
     """
-    return df.repartition(F.col(period), F.pmod(F.xxhash64(*df.columns), F.lit(ways)))
+    return df.hint("rebalance", F.col(period))
 
 
 def append_periods(df: DataFrame, path: str, period: str) -> None:
@@ -38,16 +43,33 @@ def append_periods(df: DataFrame, path: str, period: str) -> None:
 
 
 def drop_periods(spark: SparkSession, path: str, period: str, values: Sequence) -> None:
-    """Remove whole periods: their partitions are replaced by nothing.
+    """Remove whole periods; None stands for the rows without one.
 
-    Writing an empty frame with dynamic overwrite would leave them in place,
-    so the folders are removed through the file system the table lives on.
+    Writing an empty frame with dynamic overwrite would leave them in place, so
+    their folders are removed. A period without a folder is an error, and so is
+    a folder that cannot be removed.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for value in values:
-        folder = hadoop(f"{path}/{period}={value}")
-        folder.getFileSystem(conf).delete(folder, True)
+    known = [v for v in values if v is not None]
+    wanted = F.col(period).isin(known)
+    if len(known) < len(values):
+        wanted = wanted | F.col(period).isNull()
+    folders = period_folders(spark.read.parquet(path).filter(wanted), period)
+    if len(folders) < len(set(values)):
+        raise LookupError(f"{path} lacks some of the periods {list(values)}")
+    for folder in folders:
+        remove_folder(folder)
+
+
+def period_folders(df: DataFrame, period: str) -> list[str]:
+    """The folders that hold the rows of `df`, read from a table filed by `period`."""
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    return [r[0] for r in df.select(folder.alias("folder"), period).distinct().select("folder").collect()]
+
+
+def remove_folder(folder: str) -> None:
+    """Remove a folder of a finished table; an error is raised and not passed over."""
+    fs, path = FileSystem.from_uri(unquote(folder) if folder.startswith("file:") else folder)
+    fs.delete_dir(path)
 
 
 def merge_into_partitions(
@@ -55,30 +77,48 @@ def merge_into_partitions(
     path: str,
     source: DataFrame,
     partition: str,
+    keys: Sequence[str],
     merge: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> None:
-    """Merge `source` into a partitioned table, rewriting only its partitions.
-
-    The partition values of the source are listed first, one per folder that
-    will be replaced, and become a literal filter: a join on them would not
-    prune the target, since the source has no filter Spark could pass on. So
-    cold partitions are neither read nor written. The result is written to the
-    shared work folder before the table is touched: the table is not replaced
-    by a plan that still reads it, and an interrupted replacement can be run
-    again from there.
+    """Merge `source` by `keys` into a partitioned table, rewriting only the partitions it touches.
+
+    Touched are the partitions of the source rows and those in which the table
+    holds a key of the source, so that a key may move to another partition. Up
+    to `LISTED` of them become a literal filter that prunes the scan; more than
+    that are joined. The source and the result are written to the shared work
+    folder first: the table is not replaced by a plan that still reads it, and a
+    replacement that breaks off can be run again. Partitions that the merge left
+    without a row are removed last.
     """
-    values = [row[0] for row in source.select(partition).distinct().collect()]
+    given = work_folder(spark, "merge-source")
+    source.write.parquet(given)
+    source = spark.read.schema(source.schema).parquet(given)
     target = spark.read.parquet(path)
-    in_source = F.col(partition).isin([v for v in values if v is not None])
-    if None in values:
-        in_source = in_source | F.col(partition).isNull()
-    affected = target.filter(in_source)
+    held = target.select(*dict.fromkeys([*keys, partition]))
+    moved = held.join(source.select(*[F.col(k).alias(f"_s_{k}") for k in keys]).distinct(), [
+        F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys], "left_semi")
+    touched = source.select(partition).unionByName(moved.select(partition)).distinct()
+    listed = [row[0] for row in touched.limit(LISTED + 1).collect()]
+    if len(listed) <= LISTED:
+        in_touched = F.col(partition).isin([v for v in listed if v is not None])
+        if None in listed:
+            in_touched = in_touched | F.col(partition).isNull()
+        affected = target.filter(in_touched)
+    else:
+        names = touched.withColumnRenamed(partition, "_touched")
+        affected = target.join(names, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
     staged = work_folder(spark, "merge")
     merge(affected, source).select(*target.columns).write.parquet(staged)
+    result = spark.read.schema(target.schema).parquet(staged)
+    full = result.select(F.col(partition).alias("_full")).distinct()
+    emptied = affected.join(full, F.col(partition).eqNullSafe(F.col("_full")), "left_anti")
+    gone = period_folders(emptied, partition)
     (
-        by_period(spark.read.parquet(staged), partition)
+        by_period(result, partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    for folder in gone:
+        remove_folder(folder)

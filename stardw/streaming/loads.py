@@ -2,27 +2,38 @@
 
 Both take a streaming frame and run with a checkpoint: after a lost driver the
 same batch comes again with the same number, and both sinks replace what that
-batch wrote before instead of adding to it.
+batch wrote before instead of adding to it. What a batch wrote is known by the
+checkpoint and the number together, so that a second stream into one path, or
+one that starts anew with another checkpoint, adds to it.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from stardw.operators.incremental import apply_changes
 from stardw.operators.merge import current_state
-from stardw.operators.versions import publish, read_version
+from stardw.operators.versions import any_version, history, publish, read_version
+
+
+def stream_name(checkpoint: str) -> str:
+    """What a stream's batches are filed under: a hash of its checkpoint folder."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
 
 def stream_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Load new files as they arrive, one folder per batch."""
+    """Load new files as they arrive, one folder per stream and batch."""
+    name = stream_name(checkpoint)
+
     def load(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{path}/stream={name}/batch={number}")
 
     return (
         stream.writeStream.foreachBatch(load)
@@ -40,21 +51,26 @@ def stream_changes(
     order_by: Sequence[str],
     is_delete: Column,
 ) -> StreamingQuery:
-    """Apply change events batch by batch; version n+1 is the state after batch n.
+    """Apply change events batch by batch; each batch publishes the next version of the table.
 
-    Version 0 is the empty table. A repeated batch starts from the same version
-    again, so it gives the same result.
+    A batch starts from the last published version, the empty table if there is
+    none. A repeated batch finds its own version in the log and replaces it,
+    starting from the one before. One stream at a time may run on a path.
     """
     schema = StructType([*stream.schema.fields, StructField("is_deleted", BooleanType())])
+    name = stream_name(checkpoint)
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = (
-            spark.createDataFrame([], schema) if number == 0
-            else read_version(spark, path, number)
-        )
+        spark, label = batch.sparkSession, f"batch {number} of {name}"
+        last = -1
+        if any_version(spark, path):
+            log = history(spark, path)
+            mine = F.min(F.when(F.col("operation") == label, F.col("version")))
+            own, newest = log.agg(mine, F.max("version")).first()  # one row of a log
+            last = newest if own is None else own - 1
+        before = spark.createDataFrame([], schema) if last < 0 else read_version(spark, path, last)
         after = current_state(apply_changes(before, batch, keys, order_by, is_delete))
-        publish(after, path, number + 1, datetime.now(timezone.utc), f"batch {number}")
+        publish(after, path, last + 1, datetime.now(timezone.utc), label)
 
     return (
         stream.writeStream.foreachBatch(apply)
@@ -62,5 +78,3 @@ def stream_changes(
         .trigger(availableNow=True)
         .start()
     )
-
-

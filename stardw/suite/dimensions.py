@@ -166,6 +166,24 @@ def factless_activity(m):
     return current_state(facts.add_activity(first, facts.activity_fact(events, keys, places)))
 
 
+@query("p37_territories_served", with_("served", f"""
+SELECT CAST(strftime(activity_date, '%Y%m%d') AS INTEGER) AS activity_date_key,
+       {sk('employee_id')} AS employee_sk, {sk('territory_id')} AS territory_sk FROM served"""))
+def territories_served(m):
+    """The same fact on the territories of the customers, off the bridge as well."""
+    return facts.activity_fact(m.served_events(), m.employee_keys(), m.dim_territory())
+
+
+@query("p38_served_off_bridge", with_("served pairs", """
+SELECT count(*) AS off_bridge FROM served s WHERE NOT EXISTS (
+  SELECT 1 FROM pairs p WHERE p.employee_id = s.employee_id AND p.territory_id = s.territory_id)"""))
+def served_off_bridge(m):
+    """Activity in territories that are not assigned to the member; coverage leaves it out."""
+    served = m.served_events().distinct()
+    off = served.join(m.member_territories(), ["employee_id", "territory_id"], "left_anti")
+    return off.agg(F.count("*").alias("off_bridge"))
+
+
 @query("p38_coverage", with_("act pairs", """
 SELECT year(activity_date) * 100 + month(activity_date) AS period,
        count(DISTINCT (a.employee_id, a.territory_id)) AS active_pairs,

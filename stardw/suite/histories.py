@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from stardw.functions import FIRST_DAY
 from stardw.operators import facts, merge, scd
-from stardw.plans.model import LOAD_DATES
 from stardw.session import work_folder
 from stardw.sources import full_load
 
@@ -23,13 +22,13 @@ QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY load_date DESC) = 1
 
 
 def type_1_loads(m, **options):
-    """The three snapshots merged one after the other."""
-    dim = m.customer_snapshot(LOAD_DATES[0])
-    merged = None
-    for load_date in LOAD_DATES[1:]:
-        merged = merge.scd1_merge(dim, m.customer_snapshot(load_date), "customer_id", **options)
-        dim = merge.current_state(merged)
-    return merged
+    """All snapshots merged one after the other; the last merge with its actions."""
+    days = m.load_dates()
+    state = m.written(m.customer_snapshot(days[0]))
+    for day in days[1:-1]:
+        merged = merge.scd1_merge(state, m.customer_snapshot(day), "customer_id", **options)
+        state = m.written(merge.current_state(merged))
+    return merge.scd1_merge(state, m.customer_snapshot(days[-1]), "customer_id", **options)
 
 
 @query("p01_scd1_merge", with_("loads", TYPE_1))
@@ -38,8 +37,8 @@ def scd1_merge(m):
 
 
 @query("p02_scd1_only_changes", with_("loads", """
-, a AS (SELECT * FROM loads WHERE load_date = DATE '1999-01-01'),
-  b AS (SELECT * FROM loads WHERE load_date = DATE '1998-01-01')
+, a AS (SELECT * FROM loads WHERE load_date = :last_load),
+  b AS (SELECT * FROM loads WHERE load_date = :next_to_last_load)
 SELECT CASE WHEN b.customer_id IS NULL THEN 'inserted'
             WHEN a.priority IS DISTINCT FROM b.priority OR a.status IS DISTINCT FROM b.status
             THEN 'updated' ELSE 'kept' END AS action, count(*) AS "rows"
@@ -59,11 +58,11 @@ def scd1_refresh(m):
 
 
 @query("p04_insert_only_merge", with_("loads", """
-SELECT customer_id, priority, status, load_date > DATE '1997-01-01' AS added FROM loads
-WHERE load_date < DATE '1999-01-01'
+SELECT customer_id, priority, status, load_date > :first_load AS added FROM loads
+WHERE load_date <= :second_load
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY load_date) = 1"""))
 def insert_only_merge(m):
-    old, new = m.customer_snapshot(LOAD_DATES[0]), m.customer_snapshot(LOAD_DATES[1])
+    old, new = m.customer_snapshot(m.load_dates()[0]), m.customer_snapshot(m.load_dates()[1])
     merged = merge.insert_only(old, new, ["customer_id"])
     return merged.withColumn("added", F.col(merge.ACTION) == "inserted").drop(merge.ACTION)
 
@@ -71,26 +70,26 @@ def insert_only_merge(m):
 @query("p11_scd2_initial", with_("loads", f"""
 SELECT {sk('customer_id', "DATE '1900-01-01'")} AS customer_sk, customer_id, priority, status,
        '1900-01-01' AS valid_from, '9999-12-31' AS valid_to, true AS is_current
-FROM loads WHERE load_date = DATE '1997-01-01'"""))
+FROM loads WHERE load_date = :first_load"""))
 def scd2_initial(m):
-    return scd.scd2_initial(m.customer_snapshot(LOAD_DATES[0]), "customer_id", "customer_sk")
+    return scd.scd2_initial(m.customer_snapshot(m.load_dates()[0]), "customer_id", "customer_sk")
 
 
 @query("p12_scd2_changes", with_("loads", """
 SELECT b.customer_id, a.priority AS old_priority, a.status AS old_status, b.priority, b.status
 FROM loads a JOIN loads b ON a.customer_id = b.customer_id
- AND a.load_date = DATE '1997-01-01' AND b.load_date = DATE '1998-01-01'
+ AND a.load_date = :first_load AND b.load_date = :second_load
 WHERE a.priority IS DISTINCT FROM b.priority OR a.status IS DISTINCT FROM b.status"""))
 def scd2_changes(m):
     found = scd.scd2_changes(
-        scd2_initial(m), m.customer_snapshot(LOAD_DATES[1]), "customer_id", TRACKED
+        scd2_initial(m), m.customer_snapshot(m.load_dates()[1]), "customer_id", TRACKED
     )
     return found.withColumnsRenamed({"_old_priority": "old_priority", "_old_status": "old_status"})
 
 
 @query("p13_p15_scd2_actions", with_("loads", """
-, a AS (SELECT * FROM loads WHERE load_date = DATE '1997-01-01'),
-  b AS (SELECT * FROM loads WHERE load_date = DATE '1998-01-01'),
+, a AS (SELECT * FROM loads WHERE load_date = :first_load),
+  b AS (SELECT * FROM loads WHERE load_date = :second_load),
   c AS (SELECT a.customer_id AS old_id, b.customer_id AS new_id,
                a.priority IS DISTINCT FROM b.priority OR a.status IS DISTINCT FROM b.status AS diff
         FROM a FULL JOIN b ON a.customer_id = b.customer_id)
@@ -101,8 +100,8 @@ UNION ALL
 SELECT 'kept', count(*) FROM c WHERE old_id IS NOT NULL AND (new_id IS NULL OR NOT diff)"""))
 def scd2_actions(m):
     applied = scd.scd2_apply(
-        scd2_initial(m), m.customer_snapshot(LOAD_DATES[1]), "customer_id", TRACKED,
-        LOAD_DATES[1], "customer_sk",
+        scd2_initial(m), m.customer_snapshot(m.load_dates()[1]), "customer_id", TRACKED,
+        m.load_dates()[1], "customer_sk",
     )
     return merge.action_counts(applied)
 
@@ -117,6 +116,13 @@ SELECT {sk(key, 'valid_from')} AS {name}, {key}, {columns},
 @query("p16_scd2_customer", versions_sql(
     "cust_loads", "customer_id", "customer_sk", "priority, status"))
 def scd2_customer(m):
+    return m.dim_customer_applied()
+
+
+@query("p16_scd2_one_pass", versions_sql(
+    "cust_loads", "customer_id", "customer_sk", "priority, status"))
+def scd2_one_pass(m):
+    """The state after all loads, built from the orders at once."""
     return m.dim_customer_loads()
 
 
@@ -127,12 +133,12 @@ SELECT customer_id, priority, status,
 FROM load_points WINDOW w AS (PARTITION BY customer_id ORDER BY load_date)"""))
 def scd2_from_first_day(m):
     """New members valid from the first day, so that early facts find them."""
-    dim = m.dim_customer_loads(new_member_from=FIRST_DAY)
+    dim = m.dim_customer_applied(new_member_from=FIRST_DAY)
     return dim.select("customer_id", "priority", "status", "valid_from", "valid_to")
 
 
-@query("p16_scd2_close_missing", with_("o", """
-, y AS (SELECT * FROM (VALUES (1997), (1998), (1999)) t(load_year)),
+@query("p16_scd2_close_missing", with_("load_days", """
+, y AS (SELECT year(load_date) AS load_year FROM load_days),
   snap AS (SELECT y.load_year, o.customer_id, o.priority FROM o JOIN y
              ON year(o.order_date) = y.load_year - 1 WHERE o.status = 'F'
            QUALIFY row_number() OVER (PARTITION BY y.load_year, o.customer_id
@@ -149,7 +155,7 @@ def scd2_from_first_day(m):
                                      AND q.priority IS NOT DISTINCT FROM s.priority)) AS ended
            FROM starts s)
 SELECT customer_id, priority,
-       CASE WHEN load_year = 1997 THEN '1900-01-01' ELSE load_year || '-01-01' END AS valid_from,
+       CASE WHEN load_year = year(:first_load) THEN '1900-01-01' ELSE load_year || '-01-01' END AS valid_from,
        CASE WHEN ended IS NULL THEN '9999-12-31' ELSE (ended - 1) || '-12-31' END AS valid_to,
        ended IS NULL AS is_current FROM ends"""))
 def scd2_close_missing(m):
@@ -160,12 +166,13 @@ def scd2_close_missing(m):
         last = F.max_by("priority", F.struct("order_date", "order_id"))
         return seen.groupBy("customer_id").agg(last.alias("priority"))
 
-    dim = scd.scd2_initial(snapshot(LOAD_DATES[0]), "customer_id", "customer_sk")
-    for load_date in LOAD_DATES[1:]:
-        dim = scd.scd2_apply(
-            dim, snapshot(load_date), "customer_id", ["priority"], load_date, "customer_sk",
+    dim = m.in_turn(
+        lambda day: scd.scd2_initial(snapshot(day), "customer_id", "customer_sk"),
+        lambda dim, day: scd.scd2_apply(
+            dim, snapshot(day), "customer_id", ["priority"], day, "customer_sk",
             close_missing=True,
-        ).drop(merge.ACTION)
+        ).drop(merge.ACTION),
+    )
     return dim.select("customer_id", "priority", "valid_from", "valid_to", "is_current")
 
 
@@ -185,9 +192,9 @@ def scd2_product_history(m):
 SELECT customer_id, priority AS current_priority, CAST(NULL AS VARCHAR) AS previous_priority,
        CAST(NULL AS VARCHAR) AS priority_changed_on, status AS current_status,
        CAST(NULL AS VARCHAR) AS previous_status, CAST(NULL AS VARCHAR) AS status_changed_on
-FROM loads WHERE load_date = DATE '1997-01-01'"""))
+FROM loads WHERE load_date = :first_load"""))
 def scd3_initial(m):
-    return scd.scd3_initial(m.customer_snapshot(LOAD_DATES[0]), "customer_id", TRACKED)
+    return scd.scd3_initial(m.customer_snapshot(m.load_dates()[0]), "customer_id", TRACKED)
 
 
 @query("p19_scd3_rotate", SCD3_SQL)
@@ -197,12 +204,12 @@ def scd3_rotate(m):
 
 @query("p20_scd3_new_members", with_("loads", """
 SELECT customer_id, priority AS current_priority, CAST(NULL AS VARCHAR) AS previous_priority
-FROM loads WHERE load_date = DATE '1998-01-01' AND customer_id NOT IN
-  (SELECT customer_id FROM loads WHERE load_date = DATE '1997-01-01')"""))
+FROM loads WHERE load_date = :second_load AND customer_id NOT IN
+  (SELECT customer_id FROM loads WHERE load_date = :first_load)"""))
 def scd3_new_members(m):
     applied = scd.scd3_apply(
-        scd3_initial(m), m.customer_snapshot(LOAD_DATES[1]), "customer_id", TRACKED,
-        LOAD_DATES[1],
+        scd3_initial(m), m.customer_snapshot(m.load_dates()[1]), "customer_id", TRACKED,
+        m.load_dates()[1],
     )
     return applied.filter(F.col(merge.ACTION) == "inserted").select(
         "customer_id", "current_priority", "previous_priority"

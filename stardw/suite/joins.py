@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from stardw.functions import changed, mean, surrogate_key
 from stardw.operators import asof, bridge, dims, junk
 from stardw.operators.skew import hot_keys
-from stardw.plans.model import LOAD_DATES
 
 from .registry import query
 from .sql import mean as sql_mean
@@ -103,7 +102,7 @@ def price_at_sale(m):
     versions = m.dim_product().withColumnRenamed("unit_price", "list_price")
     return asof.as_of_join(
         m.sales("order_date"), versions, "product_id", "order_date", ["list_price"],
-        span=asof.year_span(m.orders(), "order_date"),
+        span=asof.years_of(m.orders(), "order_date"),
     ).select("order_id", "product_id", "employee_id", "line_number", "unit_price", "list_price")
 
 
@@ -238,10 +237,10 @@ def anti_join(m):
 
 
 @query("c12_new_members", with_("loads", """
-SELECT customer_id, priority FROM loads WHERE load_date = DATE '1998-01-01'
-AND customer_id NOT IN (SELECT customer_id FROM loads WHERE load_date = DATE '1997-01-01')"""))
+SELECT customer_id, priority FROM loads WHERE load_date = :second_load
+AND customer_id NOT IN (SELECT customer_id FROM loads WHERE load_date = :first_load)"""))
 def new_members(m):
-    old, new = m.customer_snapshot(LOAD_DATES[0]), m.customer_snapshot(LOAD_DATES[1])
+    old, new = m.customer_snapshot(m.load_dates()[0]), m.customer_snapshot(m.load_dates()[1])
     return new.join(old.select("customer_id"), "customer_id", "left_anti").select(
         "customer_id", "priority"
     )
@@ -314,25 +313,25 @@ def lookup_in_update(m):
     return m.orders().select("order_id").join(per_order, "order_id", "left")
 
 
-SCD3_SQL = with_("loads", """
-, a AS (SELECT customer_id, load_date, priority, status FROM loads),
-  ids AS (SELECT DISTINCT customer_id FROM a),
-  s AS (SELECT i.customer_id, x.priority p1, x.status s1, y.priority p2, y.status s2,
-               z.priority p3, z.status s3, x.customer_id IS NOT NULL AS in1,
-               y.customer_id IS NOT NULL AS in2
-        FROM ids i
-        LEFT JOIN a x ON x.customer_id = i.customer_id AND x.load_date = DATE '1997-01-01'
-        LEFT JOIN a y ON y.customer_id = i.customer_id AND y.load_date = DATE '1998-01-01'
-        LEFT JOIN a z ON z.customer_id = i.customer_id AND z.load_date = DATE '1999-01-01'),
-  t AS (SELECT *, in1 AND p1 IS DISTINCT FROM p2 AS pt2, in2 AND p2 IS DISTINCT FROM p3 AS pt3,
-               in1 AND s1 IS DISTINCT FROM s2 AS st2, in2 AND s2 IS DISTINCT FROM s3 AS st3
-        FROM s)
-SELECT customer_id, p3 AS current_priority,
-       CASE WHEN pt3 THEN p2 WHEN pt2 THEN p1 END AS previous_priority,
-       CASE WHEN pt3 THEN '1999-01-01' WHEN pt2 THEN '1998-01-01' END AS priority_changed_on,
-       s3 AS current_status, CASE WHEN st3 THEN s2 WHEN st2 THEN s1 END AS previous_status,
-       CASE WHEN st3 THEN '1999-01-01' WHEN st2 THEN '1998-01-01' END AS status_changed_on
-FROM t""")
+def scd3_sql() -> str:
+    """Current values, and of each attribute the last change over all loads."""
+    def last_change(attr: str) -> str:
+        return f"""
+  {attr}_changes AS (SELECT customer_id, old AS previous_{attr}, load_date AS {attr}_changed_on FROM (
+      SELECT customer_id, load_date, {attr}, lag({attr}) OVER w AS old, row_number() OVER w AS nth
+      FROM loads WINDOW w AS (PARTITION BY customer_id ORDER BY load_date))
+    WHERE nth > 1 AND {attr} IS DISTINCT FROM old
+    QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY load_date DESC) = 1)"""
+
+    return with_("loads", f""",{last_change('priority')},{last_change('status')}
+SELECT c.customer_id, c.priority AS current_priority, p.previous_priority,
+       CAST(p.priority_changed_on AS VARCHAR) AS priority_changed_on, c.status AS current_status,
+       s.previous_status, CAST(s.status_changed_on AS VARCHAR) AS status_changed_on
+FROM loads c LEFT JOIN priority_changes p ON p.customer_id = c.customer_id
+LEFT JOIN status_changes s ON s.customer_id = c.customer_id WHERE c.load_date = :last_load""")
+
+
+SCD3_SQL = scd3_sql()
 
 
 @query("c18_type2_beside_type3", f"""

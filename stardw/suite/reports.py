@@ -9,12 +9,11 @@ from stardw.functions import mean
 from stardw.operators import asof, bridge, dims, facts, junk
 from stardw.plans import reports
 
-from .aggregates import YEARS
 from .dimensions import FLAGGED
 from .joins import SCD3_SQL
 from .registry import query
 from .sql import mean as sql_mean
-from .sql import pct, with_
+from .sql import pct, sk, with_
 from .warehouse import SALES
 
 
@@ -155,7 +154,7 @@ def price_history(m):
     versions = m.dim_product()
     sold = asof.as_of_join(
         m.sales("order_date"), versions, "product_id", "order_date", ["product_sk"],
-        span=asof.year_span(m.orders(), "order_date"),
+        span=asof.years_of(m.orders(), "order_date"),
     )
     named = m.products().select("product_id", "product_name", "category")
     return reports.version_sales(versions, sold, "product_sk").join(named, "product_id").select(
@@ -224,16 +223,15 @@ def orders_by_destination(m):
     return reports.destinations(m.fulfillment(), ["ship_country"])
 
 
-@query("q11_category_by_year", with_("o l", "SELECT p.p_type AS category, " + ", ".join(
-    f"CAST(sum(CASE WHEN year(o.order_date) = {y} THEN l.net END) AS DOUBLE) AS \"{y}\""
-    for y in YEARS) + """
-FROM l JOIN o ON o.order_id = l.order_id JOIN part p ON p.p_partkey = l.product_id
-GROUP BY p.p_type"""))
+@query("q11_category_by_year", with_("o l", """
+PIVOT (SELECT p.p_type AS category, year(o.order_date) AS order_year, l.net
+       FROM l JOIN o ON o.order_id = l.order_id JOIN part p ON p.p_partkey = l.product_id)
+ON order_year USING CAST(sum(net) AS DOUBLE) GROUP BY category"""))
 def category_by_year(m):
     sales = m.sales("order_date").join(
         m.products().select("product_id", "category"), "product_id"
     )
-    return reports.by_year(sales, "category", YEARS)
+    return reports.by_year(sales, "category")
 
 
 @query("q12_top_product_per_category", with_("l", """
@@ -271,23 +269,26 @@ def top_lines(m):
 @query("q14_revenue_by_territory", with_("l pairs terr", """
 , parts AS (SELECT employee_id, count(*) AS parts FROM pairs GROUP BY employee_id),
   sold AS (SELECT employee_id, sum(net) AS net FROM l GROUP BY employee_id),
+  placed AS (SELECT employee_id, territory_id, row_number() OVER (
+                 PARTITION BY employee_id ORDER BY """ + sk("territory_id") + """) AS place FROM pairs),
+  unit AS (SELECT employee_id, net, CAST(net * 10000 AS BIGINT) AS units FROM sold),
   revenue AS (SELECT p.territory_id, sum(s.net) AS net,
-                     sum(CAST(s.net AS DECIMAL(30,4)) / q.parts) AS weighted
-              FROM sold s JOIN pairs p ON p.employee_id = s.employee_id
+                     sum(s.units // q.parts + CASE WHEN p.place <= s.units % q.parts THEN 1 ELSE 0 END)
+                       AS weighted
+              FROM unit s JOIN placed p ON p.employee_id = s.employee_id
               JOIN parts q ON q.employee_id = s.employee_id GROUP BY p.territory_id),
   orders AS (SELECT p.territory_id, count(DISTINCT l.order_id) AS orders
              FROM l JOIN pairs p ON p.employee_id = l.employee_id GROUP BY p.territory_id)
 SELECT t.region_name, t.territory_name, o.orders, CAST(r.net AS DOUBLE) AS net,
-       CAST(round(r.weighted) AS BIGINT) AS weighted_net
+       CAST(r.weighted AS DOUBLE) / 10000 AS weighted_net
 FROM revenue r JOIN orders o ON o.territory_id = r.territory_id
 JOIN terr t ON t.territory_id = r.territory_id"""))
 def revenue_by_territory(m):
-    """Plain and weighted; the weighted one is shown in whole units."""
+    """Plain and weighted; the weighted ones add up to the net of the facts."""
     return reports.territory_revenue(
         keyed_sales(m), bridge.with_weight(m.bridge()), m.dim_territory()
     ).select(
-        "region_name", "territory_name", "orders", "net",
-        F.round("weighted_net").cast("bigint").alias("weighted_net"),
+        "region_name", "territory_name", "orders", "net", "weighted_net",
     )
 
 
@@ -307,6 +308,15 @@ def members_by_territories(m):
     )
 
 
+@query("q16_members_who_never_sold", with_("pairs", """
+SELECT p.employee_id, p.territory_id FROM pairs p
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_suppkey = p.employee_id)"""))
+def members_who_never_sold(m):
+    """Assigned pairs whose member has no sale at all."""
+    sold = m.lines().select("employee_id").distinct()
+    return m.member_territories().join(sold, "employee_id", "left_anti")
+
+
 @query("q16_members_without_sales", with_("pairs", """
 SELECT p.employee_id, p.territory_id FROM pairs p
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
@@ -406,6 +416,16 @@ def coverage_by_region(m):
     )
 
 
+@query("q22_pairs_never_active", with_("act pairs", """
+SELECT p.employee_id, p.territory_id FROM pairs p
+WHERE NOT EXISTS (SELECT 1 FROM act a WHERE a.employee_id = p.employee_id
+                  AND a.territory_id = p.territory_id)"""))
+def pairs_never_active(m):
+    """Assigned pairs without any activity in all facts."""
+    active = m.activity_events().select("employee_id", "territory_id").distinct()
+    return bridge.never_active(m.member_territories(), active, ["employee_id", "territory_id"])
+
+
 @query("q22_pairs_without_activity", with_("act pairs", """
 SELECT p.employee_id, p.territory_id FROM pairs p
 WHERE NOT EXISTS (SELECT 1 FROM act a WHERE a.employee_id = p.employee_id

@@ -59,11 +59,14 @@ PARTS: dict[str, tuple[list[str], str]] = {
                CASE ship_via WHEN 1 THEN 'Express' WHEN 2 THEN 'Standard'
                     ELSE 'Economy' END AS shipper_name
         FROM o"""),
-    # Last profile of each customer before each of the three load dates.
-    "loads": (["o"], """
+    # Last profile of each customer before each load; a load follows every year of orders.
+    "load_days": (["o"], """
+        SELECT make_date(y, 1, 1) AS load_date
+        FROM (SELECT min(year(order_date)) AS a, max(year(order_date)) AS b FROM o) e,
+             generate_series(e.a + 1, e.b + 1) g(y)"""),
+    "loads": (["o", "load_days"], """
         SELECT d.load_date, o.customer_id, o.priority, o.status
-        FROM o JOIN (VALUES (DATE '1997-01-01'), (DATE '1998-01-01'), (DATE '1999-01-01'))
-          AS d(load_date) ON o.order_date < d.load_date
+        FROM o JOIN load_days d ON o.order_date < d.load_date
         QUALIFY row_number() OVER (PARTITION BY d.load_date, o.customer_id
                                    ORDER BY o.order_date DESC, o.order_id DESC) = 1"""),
     "load_points": (["loads"], """
@@ -75,7 +78,7 @@ PARTS: dict[str, tuple[list[str], str]] = {
            OR status IS DISTINCT FROM old_status"""),
     "cust_loads": (["load_points"], """
         SELECT customer_id, priority, status,
-               CASE WHEN load_date = DATE '1997-01-01' THEN DATE '1900-01-01'
+               CASE WHEN load_date = :first_load THEN DATE '1900-01-01'
                     ELSE load_date END AS valid_from,
                coalesce(lead(load_date) OVER w - 1, DATE '9999-12-31') AS valid_to,
                lead(load_date) OVER w IS NULL AS is_current
@@ -113,7 +116,8 @@ PARTS: dict[str, tuple[list[str], str]] = {
         FROM price_points WINDOW w AS (PARTITION BY product_id ORDER BY price_month)"""),
     # Stock of each product at each month end, last level repeated where nothing moved.
     "moves": (["l"], """
-        SELECT product_id, last_day(ship_date) AS month_end, sum(quantity) AS moved
+        SELECT product_id, last_day(ship_date) AS month_end,
+               sum(CASE WHEN line_number % 2 = 0 THEN quantity ELSE -quantity END) AS moved
         FROM l GROUP BY ALL"""),
     "months": (["moves"], """
         SELECT DISTINCT last_day(CAST(m AS DATE)) AS snapshot_day
@@ -123,8 +127,8 @@ PARTS: dict[str, tuple[list[str], str]] = {
     "levels": (["months"], """
         SELECT f.product_id, m.snapshot_day,
                CAST((SELECT sum(x.moved) FROM moves x
-                     WHERE x.product_id = f.product_id AND x.month_end <= m.snapshot_day) % 100
-                    AS INTEGER) AS units_in_stock
+                     WHERE x.product_id = f.product_id AND x.month_end <= m.snapshot_day)
+                    AS BIGINT) AS units_in_stock
         FROM (SELECT product_id, min(month_end) AS first_month FROM moves GROUP BY product_id) f
         JOIN months m ON m.snapshot_day >= f.first_month"""),
     "stock": (["levels"], """
@@ -133,7 +137,13 @@ PARTS: dict[str, tuple[list[str], str]] = {
                v.units_in_stock, p.p_size AS reorder_level, p.p_type AS category,
                p.p_name AS product_name, v.units_in_stock <= p.p_size AS needs_reorder
         FROM levels v JOIN part p ON p.p_partkey = v.product_id"""),
-    "act": (["o", "l"], """
+    # Days on which a member sold, for each territory that the bridge gives the member.
+    "act": (["o", "l", "pairs"], """
+        SELECT DISTINCT o.order_date AS activity_date, l.employee_id, p.territory_id
+        FROM l JOIN o ON o.order_id = l.order_id
+        JOIN pairs p ON p.employee_id = l.employee_id"""),
+    # The same days for the territories of the customers served.
+    "served": (["o", "l"], """
         SELECT DISTINCT o.order_date AS activity_date, l.employee_id,
                c.c_nationkey AS territory_id
         FROM l JOIN o ON o.order_id = l.order_id
@@ -141,6 +151,15 @@ PARTS: dict[str, tuple[list[str], str]] = {
 }
 
 
+# What :first_load, :second_load, :next_to_last_load and :last_load stand for in a body.
+LOADS = {
+    "first_load": "(SELECT min(load_date) FROM load_days)",
+    "second_load": "(SELECT load_date FROM load_days ORDER BY load_date LIMIT 1 OFFSET 1)",
+    "next_to_last_load": "(SELECT load_date FROM load_days ORDER BY load_date DESC LIMIT 1 OFFSET 1)",
+    "last_load": "(SELECT max(load_date) FROM load_days)",
+}
+
+
 def _needed(names: list[str], seen: list[str]) -> list[str]:
     for name in names:
         if name not in seen:
@@ -153,13 +172,23 @@ def with_(names: str, body: str) -> str:
     parts = _needed(names.split(), [])
     text = ",\n".join(f"{p} AS ({PARTS[p][1]})" for p in parts)
     body = body.strip()
-    return f"WITH {text}{body}" if body.startswith(",") else f"WITH {text}\n{body}"
+    whole = f"WITH {text}{body}" if body.startswith(",") else f"WITH {text}\n{body}"
+    for name, value in LOADS.items():
+        whole = whole.replace(f":{name}", value)
+    return whole
 
 
 def sk(*parts: str) -> str:
     """SQL text of the surrogate key of some key parts."""
-    texts = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '\\N')" for p in parts)
-    return f"CAST(('0x' || substr(md5(concat_ws('~', {texts})), 1, 15)) AS BIGINT)"
+    return f"CAST(('0x' || substr({fk(*parts)}, 1, 15)) AS BIGINT)"
+
+
+def fk(*parts: str) -> str:
+    """SQL text of the key of a fact row."""
+    texts = " || ".join(
+        f"coalesce(length(CAST({p} AS VARCHAR)) || ':' || CAST({p} AS VARCHAR), '~')" for p in parts
+    )
+    return f"md5({texts})"
 
 
 def mean(col: str) -> str:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from stardw.functions import date_key
 from stardw.operators import layout, versions
-from stardw.plans.model import LOAD_DATES
 from stardw.session import work_folder
 from stardw.streaming import stream_append, stream_changes
 
@@ -18,9 +17,9 @@ from .sql import with_
 
 
 def published(m) -> str:
-    """The customer snapshots of the load dates as versions 0, 1 and 2."""
+    """The customer snapshots of all loads as versions 0, 1, 2 and so on."""
     path = work_folder(m.spark, "customer-versions")
-    for number, day in enumerate(LOAD_DATES):
+    for number, day in enumerate(m.load_dates()):
         moment = datetime(day.year, day.month, day.day, 6, 0)
         versions.publish(m.customer_snapshot(day), path, number, moment, f"load {number}")
     return path
@@ -36,7 +35,7 @@ def load_history(m):
 
 
 @query("x02_read_version", with_("loads", """
-SELECT customer_id, priority, status FROM loads WHERE load_date = DATE '1997-01-01'"""))
+SELECT customer_id, priority, status FROM loads WHERE load_date = :first_load"""))
 def read_version(m):
     return versions.read_version(m.spark, published(m), 0)
 
@@ -48,19 +47,20 @@ def read_as_of(m):
 
 
 @query("x04_version_difference", with_("loads", """
-, a AS (SELECT customer_id, priority, status FROM loads WHERE load_date = DATE '1997-01-01'),
-  b AS (SELECT customer_id, priority, status FROM loads WHERE load_date = DATE '1999-01-01')
+, a AS (SELECT customer_id, priority, status FROM loads WHERE load_date = :first_load),
+  b AS (SELECT customer_id, priority, status FROM loads WHERE load_date = :last_load)
 SELECT *, 'removed' AS change FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
 UNION ALL SELECT *, 'added' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)"""))
 def version_difference(m):
     path = published(m)
     return versions.difference(
-        versions.read_version(m.spark, path, 0), versions.read_version(m.spark, path, 2)
+        versions.read_version(m.spark, path, 0),
+        versions.read_version(m.spark, path, len(m.load_dates()) - 1),
     )
 
 
 @query("x04_restore", with_("loads", """
-SELECT customer_id, priority, status FROM loads WHERE load_date = DATE '1997-01-01'"""))
+SELECT customer_id, priority, status FROM loads WHERE load_date = :first_load"""))
 def restore(m):
     path = published(m)
     newest = versions.restore(m.spark, path, 0, datetime(2000, 1, 1))
@@ -69,14 +69,14 @@ def restore(m):
 
 @query("x05_compaction", """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status,
-       CAST(1 AS BIGINT) AS files FROM orders""")
+       true AS fewer_files FROM orders""")
 def compaction(m):
-    """Many small files rewritten by size; the number of files is shown beside the rows."""
+    """Many small files rewritten by size, without a shuffle; there are fewer of them then."""
     small, large = work_folder(m.spark, "orders-small"), work_folder(m.spark, "orders-large")
     m.orders().select("order_id", "customer_id", "status").repartition(24).write.parquet(small)
     layout.compact(m.spark, small, large)
-    files = layout.file_sizes(m.spark, large).agg(F.count("*")).scalar()
-    return m.spark.read.parquet(large).withColumn("files", files)
+    before, after = (layout.file_sizes(m.spark, p).agg(F.count("*")).scalar() for p in (small, large))
+    return m.spark.read.parquet(large).withColumn("fewer_files", after < before)
 
 
 @query("x06_clustered", with_("l", """

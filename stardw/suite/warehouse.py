@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 
 from stardw import sources
 from stardw.functions import date_key
-from stardw.operators import facts, merge
+from stardw.operators import facts, merge, scd
 from stardw.plans import load
 from stardw.session import work_folder
 
 from .dimensions import FLAG_SK, FLAGGED
 from .histories import type_1_loads
 from .registry import query
-from .sql import sk, with_
+from .sql import fk, sk, with_
 
 SALES = with_("o l cust prod", FLAGGED + f"""
-SELECT {sk('f.order_id', 'f.product_id', 'f.employee_id', 'f.line_number')} AS sales_sk,
+SELECT {fk('f.order_id', 'f.product_id', 'f.employee_id', 'f.line_number')} AS sales_sk,
        f.order_id, f.product_id, f.employee_id, f.line_number,
        CAST(strftime(o.order_date, '%Y%m%d') AS INTEGER) AS order_date_key,
        {sk('c.customer_id', 'c.valid_from')} AS customer_sk,
@@ -77,9 +77,9 @@ def fact_upsert_by_partition(m):
         "quantity", F.col("quantity") + 1
     )
     sources.merge_into_partitions(
-        m.spark, path, corrected, "order_year",
+        m.spark, path, corrected, "order_year", facts.SALES_GRAIN,
         lambda target, source: merge.current_state(
-            merge.merge_rows(target, source, [*facts.SALES_GRAIN, "order_year"])
+            merge.merge_rows(target, source, facts.SALES_GRAIN)
         ),
     )
     return m.spark.read.parquet(path).groupBy("order_year").agg(
@@ -88,7 +88,7 @@ def fact_upsert_by_partition(m):
 
 
 @query("p23_fulfillment_fact", with_("ful cust", f"""
-SELECT {sk('f.order_id')} AS fulfillment_sk, f.order_id,
+SELECT {fk('f.order_id')} AS fulfillment_sk, f.order_id,
        {sk('c.customer_id', 'c.valid_from')} AS customer_sk, {sk('f.ship_via')} AS shipper_sk,
        f.order_date_key, f.required_date_key, f.shipped_date_key, f.ship_country,
        f.days_to_ship, f.is_late
@@ -99,7 +99,7 @@ def fulfillment_fact(m):
 
 
 STOCK = with_("stock prod", f"""
-, fact AS (SELECT {sk('s.snapshot_date_key', sk('p.product_id', 'p.valid_from'))} AS stock_sk,
+, fact AS (SELECT {fk('s.snapshot_date_key', sk('p.product_id', 'p.valid_from'))} AS stock_sk,
        s.snapshot_date_key, {sk('p.product_id', 'p.valid_from')} AS product_sk,
        {sk('s.category')} AS category_sk, s.units_in_stock, s.reorder_level, s.needs_reorder
   FROM stock s JOIN prod p ON p.product_id = s.product_id AND p.is_current)""")
@@ -114,7 +114,7 @@ def stock_snapshots(m):
 
 
 @query("p27_copied_snapshot", STOCK + f"""
-SELECT {sk('20020131', 'product_sk')} AS stock_sk, CAST(20020131 AS INTEGER) AS snapshot_date_key,
+SELECT {fk('20020131', 'product_sk')} AS stock_sk, CAST(20020131 AS INTEGER) AS snapshot_date_key,
        product_sk, category_sk, units_in_stock, reorder_level, needs_reorder
 FROM fact WHERE snapshot_date_key = 20010930""")
 def copied_snapshot(m):
@@ -188,6 +188,37 @@ def ordered_load(m):
     return load.run_log(m.spark, folder).select("step", "rows", "status")
 
 
+@query("p44_second_run_versions", with_("cust_loads", """
+SELECT 'kept' AS action, count(*) AS "rows" FROM cust_loads"""))
+def second_run_versions(m):
+    """The last snapshot applied again on its own day changes no version."""
+    day = m.load_dates()[-1]
+    again = scd.scd2_apply(
+        m.dim_customer_loads(), m.customer_snapshot(day), "customer_id", ["priority", "status"],
+        day, "customer_sk",
+    )
+    return merge.action_counts(again)
+
+
+@query("p44_second_run_fact", with_("o l", """
+SELECT 'kept' AS action, count(*) AS "rows" FROM (
+  SELECT 1 FROM l JOIN o ON o.order_id = l.order_id
+  GROUP BY l.order_id, l.product_id, l.employee_id, l.line_number)"""))
+def second_run_fact(m):
+    """Merging the fact into itself changes no row."""
+    fact = m.grain_totals()
+    return merge.action_counts(merge.merge_rows(fact, fact, facts.SALES_GRAIN, only_changes=True))
+
+
+@query("p44_second_run_snapshot", with_("stock", """
+SELECT count(*) AS "rows", 0::BIGINT AS added FROM stock"""))
+def second_run_snapshot(m):
+    """Appending the snapshots that are loaded already adds none."""
+    levels = m.stock_levels().withColumn("snapshot_date_key", date_key(F.col("snapshot_day")))
+    added = facts.append_snapshot(levels, levels)
+    return levels.agg(F.count("*").alias("rows")).withColumn("added", added.agg(F.count("*")).scalar())
+
+
 @query("p44_second_run", with_("loads", """
 SELECT 'kept' AS action, count(DISTINCT customer_id) AS "rows" FROM loads"""))
 def second_run(m):

@@ -1,0 +1,40 @@
+import random
+
+from stardw.llm import secret_forest
+
+from llm_fixtures import documents  # noqa: F401
+
+
+def corpus(n, seed=4):
+    rng = random.Random(seed)
+    words = ["the", "over", "river", "stone", "under", "window", "again", "morning"]
+    rows, secrets = [], set()
+    for i in range(n):
+        text = [rng.choice(words) for _ in range(30)]
+        if i % 3 == 0:
+            value = "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(15)) + "7"
+            text.insert(10, value)
+            secrets.add((i, value))
+        elif i % 3 == 1:
+            text.insert(5, "".join(rng.choice("0123456789") for _ in range(16)))
+            text.insert(9, "river.stone12@mail8.example.com")
+        rows.append((i, " ".join(text)))
+    return rows, secrets
+
+
+def test_secrets_are_found_and_numbers_are_not(documents):
+    rows, secrets = corpus(240)
+    rows += [(1000, None), (1001, ""), (1002, "x1" * 40_000), (None, "the password=b7db7aa4a5fcc78305 is"), (0, rows[0][1])]
+    found = secret_forest.scan(documents(rows)).collect()
+    away = [r for r in found if r.held_out and r.label is not None]
+    assert len(away) > 10 and all(r.is_secret == (r.label == 1) for r in away)
+    assert secrets <= {(r.key, r.value) for r in found if r.is_secret}
+    assert sum(1 for r in found if r.key == 0) == 2
+    row = next(r for r in found if r.key is None)
+    assert row.value == "b7db7aa4a5fcc78305" and row.label == 1
+
+
+def test_without_both_labels_the_label_decides(documents):
+    row = secret_forest.scan(documents([(1, 'token = "1beb58b8af68854f"')])).first()
+    assert row.is_secret and row.probability is None and row.value == "1beb58b8af68854f"
+    assert secret_forest.scan(documents([])).count() == 0
