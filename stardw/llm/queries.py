@@ -67,7 +67,7 @@ def op6_perfect_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_secret_forest(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return secret_forest.scan(documents).select(
-        F.col("key").alias("doc_id"), "at", F.sha2("value", 256).alias("value_sha256"),
+        F.col("key").alias("doc_id"), "at", "run", F.sha2("value", 256).alias("value_sha256"),
         F.length("value").alias("value_chars"), "label", "held_out", "probability", "is_secret",
     )
 
