@@ -3,13 +3,17 @@
 1. `lines` strips the markup. Every block element begins a new line; scripts,
    styles and comments vanish; lines inside menus, headers, footers, sidebars,
    forms, notices, adverts and reader comments (by element or by a word of
-   their class, id or role) stay as lines of weight 0, so that they are gaps.
-   Where the page marks an article or main element, lines outside it are gaps
-   as well; elsewhere a line weighs its characters outside links.
-2. `regions` sums the weights over windows of `WINDOW` lines. A surge is a line
-   at which the sums rise to the threshold, a dive the line at which they fall
-   to 0. The threshold is one character inside an article and `SURGE` elsewhere.
-3. The lines of weight between each surge and its dive are the text. A page on
+   their class, id or role) are set apart. End tags that HTML lets out (of
+   heads, items, cells, paragraphs) are implied.
+2. `weights` gives each line its characters outside links, `MARK` times inside
+   an article or main element; a linked line of an article that stands alone
+   counts whole. Lines set apart weigh 0, so that they are gaps; but an element
+   with at least `SURGE` characters that outweighs the rest of the page is the
+   text, whatever its name, and is not set apart (what it holds may be). Where
+   an article begins or ends there is a gap as well.
+3. `regions` sums the weights over windows of `WINDOW` lines. A surge is a line
+   at which the sums rise to `SURGE`, a dive the line at which they fall to 0.
+   The lines of weight between each surge and its dive are the text. A page on
    which nothing reaches the threshold keeps all its lines of weight.
 
 White space (space, 0x09-0x0D) inside a line is one space; character references
@@ -20,8 +24,10 @@ text. Each row is worked on by itself, whatever its other columns hold.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +35,7 @@ from pyspark.sql import types as T
 
 WINDOW = 3
 SURGE = 80
+MARK = 8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -62,19 +69,91 @@ def _apart(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines(html: str) -> list[tuple[str, int, bool]]:
-    """Text, weight outside an article, and whether it stands in an article, of each line."""
-    out: list[tuple[str, int, bool]] = []
+_HEAD = frozenset("base link meta title style script noscript template".split())
+# The elements that an element of the name ends, and those beyond which it does not reach.
+_ENDS = {
+    "li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "option": ("option", "select"),
+    "tr": ("tr", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"),
+    "thead": ("thead tbody tfoot", "table"), "tbody": ("thead tbody tfoot", "table"),
+    "tfoot": ("thead tbody tfoot", "table"),
+}
+_ENDS = {name: tuple(frozenset(part.split()) for part in parts) for name, parts in _ENDS.items()}
+_P_STAYS = frozenset("button caption object table td th".split())
+
+
+class _Open:
+    """The open elements of a page, and which of them are set apart."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.count: Counter[str] = Counter()
+        self.apart: list[tuple[int, int]] = []  # depth and number of each element set apart
+        self.roots: list[tuple[int, int]] = []  # of each number: the number around it, articles around it
+
+    @property
+    def articles(self) -> int:
+        return self.count["article"] + self.count["main"]
+
+    def cut(self, depth: int) -> None:
+        for name in self.names[depth:]:
+            self.count[name] -= 1
+        del self.names[depth:]
+        while self.apart and self.apart[-1][0] >= depth:
+            self.apart.pop()
+
+    def _cut_within(self, ended: frozenset[str], bounds: frozenset[str]) -> None:
+        if not any(self.count[name] for name in ended):
+            return
+        for depth in range(len(self.names) - 1, -1, -1):
+            if self.names[depth] in ended:
+                return self.cut(depth)
+            if self.names[depth] in bounds:
+                return None
+
+    def begin(self, name: str, attributes: str) -> None:
+        if self.count["head"] and name not in _HEAD and name not in ("head", "html"):
+            self.cut(self.names.index("head"))
+        if name in _ENDS:
+            self._cut_within(*_ENDS[name])
+        elif name not in _INLINE:
+            self._cut_within(frozenset(("p",)), _P_STAYS)
+        if name in _VOID or attributes.endswith("/") and name not in _INLINE and name in _APART:
+            return
+        if _apart(name, attributes, self.articles > 0):
+            self.roots.append((self.apart[-1][1] if self.apart else -1, self.articles))
+            self.apart.append((len(self.names), len(self.roots) - 1))
+        self.names.append(name)
+        self.count[name] += 1
+
+    def end(self, name: str) -> None:
+        if not self.count[name]:
+            return
+        for depth in range(len(self.names) - 1, -1, -1):
+            if self.names[depth] == name:
+                return self.cut(depth)
+            if name in _INLINE and self.names[depth] not in _INLINE:
+                return None
+
+
+class Line(NamedTuple):
+    text: str
+    linked: int
+    articles: int
+    apart: int  # number of the innermost element set apart, -1 if there is none
+
+
+def lines(html: str) -> tuple[list[Line], list[tuple[int, int]]]:
+    """The lines of a page; of each element set apart the number of the one around it and the articles around it."""
+    out: list[Line] = []
     parts: list[str] = []
-    skipped: list[str] = []  # open elements from the one that is set apart inwards
-    article = links = linked = 0
+    opened = _Open()
+    links = linked = 0
 
     def close() -> None:
         nonlocal linked
         text = _SPACE.sub(" ", unescape("".join(parts))).strip(" ")
         if text:
-            weight = 0 if skipped else max(1, len(text) - linked) if linked < len(text) else 0
-            out.append((text if not skipped else "", weight, article > 0 and not skipped))
+            out.append(Line(text, min(linked, len(text)), opened.articles, opened.apart[-1][1] if opened.apart else -1))
         parts.clear()
         linked = 0
 
@@ -100,24 +179,47 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         if name not in _INLINE:
             close()
             links = 0
-        if skipped:
-            if name == skipped[0]:
-                if ends:
-                    skipped.pop()
-                elif not m[4].endswith("/"):
-                    skipped.append(name)
-            elif ends and name in ("article", "main", "body"):
-                skipped.clear()
-        elif not ends and name not in _VOID and _apart(name, m[4], article > 0):
-            if name in _INLINE:
-                close()
-            skipped.append(name)
-            continue
-        if not skipped and name in ("article", "main"):
-            article = max(0, article - 1) if ends else article + 1
+        elif not ends and name not in _VOID and _apart(name, m[4], opened.articles > 0):
+            close()
+        elif ends and opened.apart and opened.names[opened.apart[-1][0]] == name:
+            close()
+        if ends:
+            opened.end(name)
+        else:
+            opened.begin(name, m[4])
     if at < len(html):
         add(html[at:])
     close()
+    return out, opened.roots
+
+
+def weights(found: list[Line], roots: list[tuple[int, int]]) -> list[tuple[str, int]]:
+    """The text and weight of each line, with gaps where an article begins or ends."""
+    plain = [len(x.text) - x.linked for x in found]
+    held = [[0, 0] for _ in roots]  # characters and weight of all that each element set apart holds
+    total = 0
+    for line, n in zip(found, plain, strict=True):
+        apart = line.apart
+        total += n * (MARK if line.articles > (roots[apart][1] if apart >= 0 else 0) else 1)
+        while apart >= 0:
+            held[apart][0] += n
+            held[apart][1] += n * (MARK if line.articles > roots[apart][1] else 1)
+            apart = roots[apart][0]
+    out_of = []  # whether a line of each element set apart stays so
+    for number, (around, _) in enumerate(roots):
+        n, weight = held[number]
+        out_of.append((around >= 0 and out_of[around]) or n < SURGE or 2 * weight <= total)
+    out: list[tuple[str, int]] = []
+    inside = False
+    for i, line in enumerate(found):
+        if inside != (line.articles > 0):
+            inside = not inside
+            out += [("", 0)] * WINDOW
+        n = plain[i]
+        if inside and n <= 0 and not any(plain[j] <= 0 for j in (i - 1, i + 1) if 0 <= j < len(found)):
+            n = len(line.text)
+        away = line.apart >= 0 and out_of[line.apart]
+        out.append(("", 0) if away else (line.text, n * MARK if inside else n))
     return out
 
 
@@ -146,14 +248,10 @@ def regions(weights: list[int], threshold: int, window: int = WINDOW) -> list[tu
 
 def main_text(html: str) -> str:
     """The main text of one page."""
-    found = lines(html)
-    marked = any(inside for _, _, inside in found)
-    if marked:
-        weights = [len(text) if inside else 0 for text, _, inside in found]
-    else:
-        weights = [weight for _, weight, _ in found]
-    kept = regions(weights, 1 if marked else SURGE) or [(0, len(found))]
-    return "\n".join(found[i][0] for low, high in kept for i in range(low, high) if weights[i])
+    found = weights(*lines(html))
+    each = [weight for _, weight in found]
+    kept = regions(each, SURGE) or [(0, len(found))]
+    return "\n".join(found[i][0] for low, high in kept for i in range(low, high) if each[i])
 
 
 def extracted(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:

@@ -36,3 +36,25 @@ def test_rows_and_columns_stay(spark):
     assert [r.text for r in found] == [t for _, t in CASES]
     assert [r.n_chars for r in found] == list(range(len(CASES)))
     assert extracted(pages.limit(0)).count() == 0
+
+
+LINKS = "".join(f"<li><a href='/{i}'>A linked headline of some length {i}</a></li>" for i in range(6))
+WHOLE = [
+    # A teaser in an article, the body elsewhere.
+    (f"<article><p>Teaser here.</p></article><div><p>{LONG}</p><p>{LONG}</p></div>", f"Teaser here.\n{LONG}\n{LONG}"),
+    # A list of links inside main; a linked title stays.
+    (f"<main><h1><a href='/'>Title</a></h1><p>{LONG}</p><div>{LINKS}</div><p>{LONG}</p></main>", f"Title\n{LONG}\n{LONG}"),
+    (f"<html><head><meta charset=utf-8><title>t</title><body><p>{LONG}</p></body></html>", LONG),
+    (f"<html><head><link rel=x><p>{LONG}</p>", LONG),
+    (f"<div class='page no-sidebar'><nav>{LINKS}</nav><p>{LONG}</p><footer>Imprint of the site</footer></div>", LONG),
+    (f"<form><div id=menu><a>x</a> y</div><div class='banner'><p>{LONG}</p></div></form>", LONG),
+    # Long reader comments do not outweigh an article; items set apart end at the next item.
+    (f"<article><p>{LONG}</p></article><div class=comments><p>{LONG}</p><p>{LONG}</p></div>", LONG),
+    (f"<ul><li class=ad>Buy<li>{LONG}</ul><div class=ad><b>Buy</div><p>{LONG}</p>", f"{LONG}\n{LONG}"),
+    (f"<p>Short outside.</p><article><p>{LONG}</p></article>", LONG),
+]
+
+
+@pytest.mark.parametrize(("html", "text"), WHOLE, ids=range(len(WHOLE)))
+def test_line_blocks_decide_on_every_page(html, text):
+    assert main_text(html) == text
