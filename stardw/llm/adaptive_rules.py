@@ -1,12 +1,14 @@
 """Quality rules whose cutoffs follow the documents of each language and source.
 
-`measured` adds counts of every whole text. `fences` summarises five ratios of
+`measured` adds counts of every whole text. `fences` summarises six ratios of
 them in KLL quantile sketches per language and source; a group with too few
 documents takes the sketch merged over its language, and then over all
-documents. A cutoff is the upper quartile plus `reach` times the spread of the
-middle half, so that it follows the group; `LEAST_SPREAD` keeps a group whose
-documents are nearly all alike from rejecting ordinary ones. `verdicts` joins
-the cutoffs to the documents.
+documents. A cutoff is an upper quantile (`TAIL`) plus `reach` times its distance
+from the median, so that it follows the group, and `FLOOR`, about twice the
+sketch's rank error. The mean length of words has such a cutoff on either side. So that
+one stray symbol, line or passage does not reject a short text, `ALLOWED` of
+each count are free. Cutoffs taken over all languages are wider where languages
+differ (`STRANGE`). `verdicts` joins the cutoffs to the documents.
 
 Null and empty texts have no words and fail the base rule. Null languages and
 sources are groups of their own. Repeated rows are measured one by one. An
@@ -28,12 +30,19 @@ SYMBOLS = b"#*$%&|<>"
 COUNTS = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_echoes",
 ]
-# The ratios, and the least spread of the middle half that a cutoff assumes.
-LEAST_SPREAD = {
-    "symbols_per_word": 0.1, "dup_line_share": 0.15, "repeat_share": 0.08, "upper_share": 0.12,
-    "echo_share": 0.08,
+# The ratios with a greatest value, and how much of the count is free.
+ALLOWED = {
+    "symbols_per_word": 1, "dup_line_share": 1, "repeat_share": 10, "upper_share": 1, "echo_share": 1,
 }
+LENGTH = "word_length"
+# The quantile that a cutoff starts from. Symbols are junk in whole sources, so that theirs is lower.
+TAILS = {"symbols_per_word": 0.75}
+TAIL = 0.9
+FLOOR = 0.02
+LENGTH_FLOOR = 0.5
 REACH = 3.0
+# What is added to the share of capitals, and the factor of the word lengths, of a language that is not known.
+STRANGE_UPPER, STRANGE_LENGTH = 0.2, 2.0
 LEAST_GROUP = 50
 SKETCH_K = 400
 
@@ -106,26 +115,30 @@ def measured(documents: DataFrame, text: str = "text", into: str = "quality") ->
     return documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(into, kind)]))
 
 
-def _ratios(m: str) -> dict[str, Column]:
-    def per(a: str, b: str) -> Column:
-        return F.when(F.col(f"{m}.{b}") > 0, F.col(f"{m}.{a}") / F.col(f"{m}.{b}")).otherwise(0.0)
+def _ratios(m: str, free: bool = False) -> dict[str, Column]:
+    """The ratios of the counts, or of what they have beyond `ALLOWED`."""
+    def per(name: str, a: str, b: str) -> Column:
+        count = F.col(f"{m}.{a}")
+        if free:
+            count = F.greatest(count - ALLOWED.get(name, 0), F.lit(0))
+        return F.when(F.col(f"{m}.{b}") > 0, count / F.col(f"{m}.{b}")).otherwise(0.0)
 
-    return {
-        "symbols_per_word": per("n_symbols", "n_words"),
-        "dup_line_share": per("n_dup_lines", "n_lines"),
-        "repeat_share": per("n_repeat_words", "n_words"),
-        "upper_share": per("n_upper", "word_chars"),
-        "echo_share": per("n_echoes", "n_words"),
+    parts = {
+        "symbols_per_word": ("n_symbols", "n_words"), "dup_line_share": ("n_dup_lines", "n_lines"),
+        "repeat_share": ("n_repeat_words", "n_words"), "upper_share": ("n_upper", "word_chars"),
+        "echo_share": ("n_echoes", "n_words"), LENGTH: ("word_chars", "n_words"),
     }
+    return {name: per(name, *of) for name, of in parts.items()}
 
 
 def fences(
     measures: DataFrame, by: tuple[str, str] = ("lang", "source"), into: str = "quality",
     reach: float = REACH, least_group: int = LEAST_GROUP,
 ) -> DataFrame:
-    """One row per language and source: columns `lang`, `source` and the greatest value of each ratio."""
-    names = list(LEAST_SPREAD)
+    """One row per language and source: `lang`, `source`, the greatest value of each ratio, and
+    the least and greatest mean length of words (`least_word_length`, `word_length`)."""
     ratios = _ratios(into)
+    names = list(ratios)
     groups = (
         measures.filter(F.col(f"{into}.n_words") > 0)
         .select(F.col(by[0]).alias("_lang"), F.col(by[1]).alias("_source"),
@@ -145,14 +158,25 @@ def fences(
         prefixed(languages, "l"), F.col("_lang").eqNullSafe(F.col("l_lang"))
     ).withColumn("a", overall.select(F.struct(*names)).scalar())
 
-    def cutoff(n: str) -> Column:
-        sketch = F.when(F.col("_n") >= least_group, F.col(n)).when(
-            F.col("l_n") >= least_group, F.col("l" + n)
-        ).otherwise(F.col(f"a.{n}"))
-        low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.25, 0.75))
-        return high + reach * F.greatest(high - low, F.lit(LEAST_SPREAD[n]))
+    own, language = F.col("_n") >= least_group, F.col("l_n") >= least_group
+
+    def quantile(n: str, q: float) -> Column:
+        sketch = F.when(own, F.col(n)).when(language, F.col("l" + n)).otherwise(F.col(f"a.{n}"))
+        return F.kll_sketch_get_quantile_double(sketch, F.lit(q))
 
-    return wide.select(F.col("_lang").alias("lang"), F.col("_source").alias("source"), *[cutoff(n).alias(n) for n in names])
+    def cutoff(n: str, tail: float = TAIL, floor: float = FLOOR) -> Column:
+        end = quantile(n, tail)
+        return end + reach * (end - quantile(n, 0.5)) + floor
+
+    known = own | language
+    factor = F.when(known, 1.0).otherwise(STRANGE_LENGTH)
+    greatest = {n: cutoff(n, TAILS.get(n, TAIL)) for n in ALLOWED}
+    greatest["upper_share"] += F.when(known, 0.0).otherwise(STRANGE_UPPER)
+    greatest[LENGTH] = cutoff(LENGTH, floor=LENGTH_FLOOR) * factor
+    greatest[f"least_{LENGTH}"] = cutoff(LENGTH, 1 - TAIL, -LENGTH_FLOOR) / factor
+    return wide.select(
+        F.col("_lang").alias("lang"), F.col("_source").alias("source"), *[c.alias(n) for n, c in greatest.items()]
+    )
 
 
 def verdicts(
@@ -170,8 +194,9 @@ def verdicts(
         "left",
     )
     inside = F.lit(True)
-    for name, ratio in _ratios(into).items():
+    for name, ratio in _ratios(into, free=True).items():
         inside = inside & (ratio <= F.coalesce(F.col(p + name), F.lit(float("inf"))))
+    inside = inside & (_ratios(into)[LENGTH] >= F.coalesce(F.col(f"{p}least_{LENGTH}"), F.lit(0.0)))
     return joined.withColumn(base_failed, failed).withColumn(kept, ~failed & inside).drop(*limits.columns)
 
 

@@ -54,3 +54,35 @@ def test_base_rule_and_empty_table(documents):
     judged = ar.verdicts(counts, ar.fences(counts)).collect()
     assert sorted(r.base_failed for r in judged) == [False, True]
     assert ar.keep_good(documents([])).count() == 0
+
+
+def test_each_rule_rejects_what_is_unlike_its_group(documents):
+    rng = random.Random(9)
+    words = ["a", "river", "Stone", "window", "under", "morning", "of", "the", "again", "house", "early", "garden"]
+
+    def text(n=120):
+        return [f"{rng.choice(words)}{rng.randrange(90)}" for _ in range(n)]
+
+    def lined(parts, at=10):
+        return "\n".join(" ".join(parts[i:i + at]) for i in range(0, len(parts), at))
+
+    clean = [lined(text()) for _ in range(120)]
+    # One free repeat, then lines repeated, capitals, long and short words, a repeated passage, echoes, symbols.
+    clean += [lined(text(40)) + "\nx y\nx y", lined(text(20)) + "\none # more"]
+    again = [lined(text(60), 10)] + ["menu home"] * 5
+    passage = text(9)
+    junk = ["\n".join(again), lined([w.upper() if i % 3 == 0 else w for i, w in enumerate(text())]),
+            lined([w + "x" * 195 for w in text()]), lined([w[0] for w in text()]),
+            lined(passage + text(51) + passage + text(51)), lined([w for x in text(60) for w in (x, x)][:20] + text(100)),
+            lined([w + "#" if i % 8 == 0 else w for i, w in enumerate(text())])]
+    rows = [(i, t, "en", "s") for i, t in enumerate(clean + junk)]
+    counts = ar.measured(documents(rows).select("doc_id", "text", "lang", "source"))
+    judged = ar.verdicts(counts, ar.fences(counts)).collect()
+    assert sum(r.base_failed for r in judged) == 0
+    assert sorted(r.doc_id for r in judged if not r.kept) == list(range(len(clean), len(rows)))
+
+
+def test_an_unknown_language_is_judged_by_wider_cutoffs(documents):
+    rows = group(5, 80, "en", "s", 0) + group(6, 3, "Qx", "t", 100) + [
+        (200, " ".join(f"w{i}" + "x" * 200 for i in range(60)), "zz", "t")]
+    assert sorted(r.doc_id for r in ar.keep_good(documents(rows)).collect()) == [r[0] for r in rows[:-1]]
