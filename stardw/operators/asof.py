@@ -60,10 +60,11 @@ def as_of_join(
     on = [key]
     if form == "bucket":
         span = years_of(facts, day) if span is None else span
+        # The years become a column first: a lambda may not hold a scalar subquery.
         touched = F.filter(
-            span, lambda y: (y >= F.year(F.col("_from"))) & (y <= F.year(F.col("_to")))
+            "_span", lambda y: (y >= F.year(F.col("_from"))) & (y <= F.year(F.col("_to")))
         )
-        slim = slim.withColumn("_year", F.explode(touched))
+        slim = slim.withColumn("_span", span).withColumn("_year", F.explode(touched)).drop("_span")
         facts = facts.withColumn("_year", F.year(day))
         on = [key, "_year"]
 
