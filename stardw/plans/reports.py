@@ -50,6 +50,15 @@ def by_year(sales: DataFrame, by: str, years: Sequence[int] | None = None) -> Da
     return totals.groupBy(by).pivot("_year", None if years is None else list(years)).agg(F.sum("net"))
 
 
+def cells(pivoted: DataFrame, by: str) -> DataFrame:
+    """The filled cells of a table of `by_year`, one row each."""
+    years = [c for c in pivoted.columns if c != by]
+    if not years:
+        return pivoted.select(by, F.lit(None).cast("int").alias("order_year"), F.lit(None).alias("net"))
+    long = pivoted.unpivot(by, years, "order_year", "net").filter(F.col("net").isNotNull())
+    return long.withColumn("order_year", F.col("order_year").cast("int"))
+
+
 def revenue_by(sales: DataFrame, by: Sequence[str]) -> DataFrame:
     """Orders, gross, net, discount given and mean discount in percent.
 

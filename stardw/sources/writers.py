@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from urllib.parse import unquote
+from collections.abc import Callable, Iterator, Sequence
 
-from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -53,23 +51,30 @@ def drop_periods(spark: SparkSession, path: str, period: str, values: Sequence)
     wanted = F.col(period).isin(known)
     if len(known) < len(values):
         wanted = wanted | F.col(period).isNull()
-    folders = period_folders(spark.read.parquet(path).filter(wanted), period)
+    folders = list(period_folders(spark.read.parquet(path).filter(wanted), period))
     if len(folders) < len(set(values)):
         raise LookupError(f"{path} lacks some of the periods {list(values)}")
     for folder in folders:
-        remove_folder(folder)
+        remove_folder(spark, folder)
 
 
-def period_folders(df: DataFrame, period: str) -> list[str]:
-    """The folders that hold the rows of `df`, read from a table filed by `period`."""
+def period_folders(df: DataFrame, period: str) -> Iterator[str]:
+    """The folders that hold the rows of `df`, read from a table filed by `period`.
+
+    They come one partition of the result at a time, so that the driver holds
+    no list of all of them. A folder is a URI, as Spark writes it: what a
+    partition value quotes in the folder's name is quoted once more.
+    """
     folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
-    return [r[0] for r in df.select(folder.alias("folder"), period).distinct().select("folder").collect()]
+    found = df.select(folder.alias("folder"), period).distinct().select("folder")
+    return (r[0] for r in found.toLocalIterator())
 
 
-def remove_folder(folder: str) -> None:
-    """Remove a folder of a finished table; an error is raised and not passed over."""
-    fs, path = FileSystem.from_uri(unquote(folder) if folder.startswith("file:") else folder)
-    fs.delete_dir(path)
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, given as a URI, through the file system settings of the session."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+        raise FileNotFoundError(f"{folder} could not be removed")
 
 
 def merge_into_partitions(
@@ -86,9 +91,11 @@ def merge_into_partitions(
     holds a key of the source, so that a key may move to another partition. Up
     to `LISTED` of them become a literal filter that prunes the scan; more than
     that are joined. The source and the result are written to the shared work
-    folder first: the table is not replaced by a plan that still reads it, and a
-    replacement that breaks off can be run again. Partitions that the merge left
-    without a row are removed last.
+    folder first: the table is not replaced by a plan that still reads it.
+    Partitions that the merge left without a row are removed before the others
+    are replaced, so that no failure leaves a key in two partitions. Until the
+    end the whole result is in the work folder: an error in between names the
+    folder in a note, and `replace_partitions` finishes from it.
     """
     given = work_folder(spark, "merge-source")
     source.write.parquet(given)
@@ -112,13 +119,21 @@ def merge_into_partitions(
     result = spark.read.schema(target.schema).parquet(staged)
     full = result.select(F.col(partition).alias("_full")).distinct()
     emptied = affected.join(full, F.col(partition).eqNullSafe(F.col("_full")), "left_anti")
-    gone = period_folders(emptied, partition)
+    try:
+        for folder in period_folders(emptied, partition):
+            remove_folder(spark, folder)
+        replace_partitions(result, path, partition)
+    except Exception as error:
+        error.add_note(f"the merged partitions are complete in {staged}")
+        raise
+
+
+def replace_partitions(rows: DataFrame, path: str, partition: str) -> None:
+    """Replace the partitions that `rows` has rows of; the others stay."""
     (
-        by_period(result, partition)
+        by_period(rows, partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
-    for folder in gone:
-        remove_folder(folder)

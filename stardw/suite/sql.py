@@ -170,7 +170,8 @@ def _needed(names: list[str], seen: list[str]) -> list[str]:
 
 def with_(names: str, body: str) -> str:
     parts = _needed(names.split(), [])
-    text = ",\n".join(f"{p} AS ({PARTS[p][1]})" for p in parts)
+    # Materialized: parts are used several times, and nested copies of them cost minutes.
+    text = ",\n".join(f"{p} AS MATERIALIZED ({PARTS[p][1]})" for p in parts)
     body = body.strip()
     whole = f"WITH {text}{body}" if body.startswith(",") else f"WITH {text}\n{body}"
     for name, value in LOADS.items():

@@ -98,10 +98,11 @@ def test_all_forms_agree_with_brute_force_on_a_hot_member(spark):
         ((n, v) for n, member, day in data for v, begin, end in by_member[member]
          if begin <= day <= end), key=repr,
     )
-    hot = hot_keys(facts, ["id"], share=10)
-    assert rows(hot) == [("HOT",)]
+    # A list of hot keys says for each over how many tasks its rows are dealt.
+    hot = hot_keys(facts, ["id"], share=10, rows_per_task=500)
+    assert rows(hot) == [("HOT", 4)]
     hot_days = hot_keys(facts, ["id", "day"], share=10)
-    assert rows(hot_days) == [("HOT", date(2015, 1, 1))]
+    assert rows(hot_days) == [("HOT", date(2015, 1, 1), 2)]
     for form, marked in [
         ("range", None), ("bucket", None), ("lookup", None), ("range", hot), ("bucket", hot),
         ("lookup", hot_days), ("lookup", hot),
@@ -115,8 +116,9 @@ def test_all_forms_agree_with_brute_force_on_a_hot_member(spark):
 def test_hot_key_is_dealt_to_many_places(spark):
     _, _, facts, _ = skewed(spark)
     lookup = facts.select("id").distinct().withColumn("label", F.upper("id"))
-    hot = hot_keys(facts, ["id"], share=10)
-    joined = join_split(facts, lookup, ["id"], hot, ["n"], ways=8)
+    hot = hot_keys(facts, ["id"], share=10, rows_per_task=250)
+    assert rows(hot) == [("HOT", 8)]
+    joined = join_split(facts, lookup, ["id"], hot, ["n"])
     assert same_rows(joined.select("n", "label"), facts.select("n", F.upper("id").alias("label")))
     salts = facts.filter("id = 'HOT'").select(F.pmod(F.xxhash64("n"), F.lit(8))).distinct()
     assert salts.count() == 8
@@ -124,6 +126,22 @@ def test_hot_key_is_dealt_to_many_places(spark):
     assert left.count() == facts.count()
 
 
+def test_left_join_on_hot_keys_keeps_a_null_member(spark):
+    """Neither a NULL member nor a day before the first version has a version; both stay."""
+    facts = spark.createDataFrame(
+        [(n, None if n % 3 == 0 else "A", D("2020-01-01") if n % 2 else D("1990-01-01"))
+         for n in range(30)], FACTS)
+    versions = spark.createDataFrame(
+        [("A", "one", D("2000-01-01"), D("9999-12-31"), True), (None, "none", D("1900-01-01"), D("9999-12-31"), True)],
+        VERSIONS)
+    wanted = sorted(((n, "one" if n % 3 and n % 2 else None) for n in range(30)), key=repr)
+    hot = hot_keys(facts, ["id"], share=10)
+    for form in FORMS:
+        out = asof.as_of_join(
+            facts, versions, "id", "day", ["v"], how="left", form=form, hot=hot, spread_by=["n"])
+        assert rows(out, "n", "v") == wanted, form
+
+
 def test_hot_keys_are_bounded_by_the_share(spark):
     even = spark.range(1000).withColumn("k", F.col("id") % 10)
     assert hot_keys(even, ["k"], share=10).count() == 0  # exactly one in ten is not more

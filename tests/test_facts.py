@@ -92,10 +92,13 @@ def test_month_end_levels_fill_months_without_movement(frame):
          (2, D("2020-03-31"), 10)],
         "product_id int, moved_on date, quantity int",
     )
-    assert rows(facts.month_end_levels(moves, 100)) == sorted([
+    # Levels are the plain sums of signed movements, with no cap.
+    assert rows(facts.month_end_levels(moves)) == sorted([
         (1, date(2020, 1, 31), 35), (1, date(2020, 2, 29), 35), (1, date(2020, 3, 31), 35),
-        (1, date(2020, 4, 30), 15), (2, date(2020, 3, 31), 10), (2, date(2020, 4, 30), 10),
+        (1, date(2020, 4, 30), 115), (2, date(2020, 3, 31), 10), (2, date(2020, 4, 30), 10),
     ], key=repr)
+    signed = frame([(1, D("2020-01-10"), 150), (1, D("2020-02-20"), -20)], "product_id int, moved_on date, quantity int")
+    assert rows(facts.month_end_levels(signed), "units_in_stock") == [(130,), (150,)]
 
 
 def test_bands_at_the_edges(frame):

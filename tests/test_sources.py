@@ -1,11 +1,13 @@
 from datetime import datetime
 
+import pytest
 from conftest import D, rows
 from pyspark.sql import functions as F
 
 from stardw import sources
 from stardw.operators import quality
 from stardw.operators.merge import current_state, merge_rows
+from stardw.sources import writers
 from stardw.sources.contracts import ID, MONEY, NUMBER, TEXT, contract
 
 MEMBERS = contract(id=NUMBER, name=TEXT, address=TEXT, code=TEXT, amount=MONEY)
@@ -71,8 +73,8 @@ def test_append_drop_and_merge_of_partitions(frame, spark, tmp_path):
     sources.append_periods(frame([(4, 1, 3)], ddl), path, "day")
     before = {f.name for f in (tmp_path / "t" / "day=1").glob("*.parquet")}
     sources.merge_into_partitions(
-        spark, path, frame([(2, 9, 2), (5, 5, 2)], ddl), "day",
-        lambda t, s: current_state(merge_rows(t, s, ["id", "day"])),
+        spark, path, frame([(2, 9, 2), (5, 5, 2)], ddl), "day", ["id"],
+        lambda t, s: current_state(merge_rows(t, s, ["id"])),
     )
     assert rows(spark.read.parquet(path), "id", "v", "day") == [
         (1, 1, 1), (2, 9, 2), (3, 1, 3), (4, 1, 3), (5, 5, 2)
@@ -83,6 +85,56 @@ def test_append_drop_and_merge_of_partitions(frame, spark, tmp_path):
     assert rows(spark.read.parquet(path), "id") == [(1,), (2,), (5,)]
 
 
+ODD = ["New York", "a b/c%d", "50%", "a:b", "é=ü", None]
+
+
+@pytest.mark.parametrize("place", ODD)
+def test_merge_moves_a_key_out_of_any_partition(frame, spark, tmp_path, place):
+    """A key is in one partition only, also if its old one has a name that paths quote, or none."""
+    path, ddl = str(tmp_path / "t"), "id int, v int, city string"
+    sources.append_periods(frame([(1, 10, place), (2, 20, "x")], ddl), path, "city")
+    sources.merge_into_partitions(
+        spark, path, frame([(1, 11, "x")], ddl), "city", ["id"],
+        lambda t, s: current_state(merge_rows(t, s, ["id"])),
+    )
+    assert rows(spark.read.parquet(path), "id", "v", "city") == [(1, 11, "x"), (2, 20, "x")]
+    # Back again, into a partition that no longer exists.
+    sources.merge_into_partitions(
+        spark, path, frame([(1, 12, place)], ddl), "city", ["id"],
+        lambda t, s: current_state(merge_rows(t, s, ["id"])),
+    )
+    assert rows(spark.read.parquet(path), "id", "v", "city") == [(1, 12, place), (2, 20, "x")]
+    sources.drop_periods(spark, path, "city", [place])
+    assert rows(spark.read.parquet(path), "id") == [(2,)]
+
+
+def test_a_merge_that_breaks_off_leaves_no_key_twice(frame, spark, tmp_path, monkeypatch):
+    path, ddl = str(tmp_path / "t"), "id int, v int, city string"
+    sources.append_periods(frame([(1, 10, "old"), (2, 20, "new")], ddl), path, "city")
+
+    def broken(*_):
+        raise OSError("disk is gone")
+
+    whole = writers.replace_partitions
+    monkeypatch.setattr(writers, "replace_partitions", broken)
+    with pytest.raises(OSError) as raised:
+        sources.merge_into_partitions(
+            spark, path, frame([(1, 11, "new")], ddl), "city", ["id"],
+            lambda t, s: current_state(merge_rows(t, s, ["id"])),
+        )
+    assert rows(spark.read.parquet(path), "id") == [(2,)]
+    staged = raised.value.__notes__[0].split()[-1]
+    whole(spark.read.parquet(staged), path, "city")
+    assert rows(spark.read.parquet(path), "id", "v", "city") == [(1, 11, "new"), (2, 20, "new")]
+
+
+def test_dropping_a_period_that_is_not_there_is_an_error(frame, spark, tmp_path):
+    path = str(tmp_path / "t")
+    sources.append_periods(frame([(1, 1)], "id int, day int"), path, "day")
+    with pytest.raises(LookupError):
+        sources.drop_periods(spark, path, "day", [2])
+
+
 def test_table_projection_renames(frame, spark, tmp_path):
     path = str(tmp_path / "t")
     frame([(1, 2, 3)], "`Order ID` int, a int, blob int").write.option(
