@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, maxent_lm, mixing, partenum, perfect_dedup, secret_forest, training_order, warc
+from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, maxent_lm, mixing, partenum, perfect_dedup, secret_forest, segment_trees, training_order, warc
 from stardw.llm.tables import stored, table
 from stardw.session import work_folder
 
@@ -83,12 +83,56 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_segment_trees(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("text", "lang", "source")
+    return segment_trees.audited(documents)
+
+
 QUERIES = {f.__name__: f for f in [
     op1_lattice_sampling, op2_mixing, op3_training_order, op4_maxent_lm, op5_partenum, op6_perfect_dedup, op7_line_blocks,
-    op8_adaptive_rules, op9_secret_forest, op10_warc,
+    op8_adaptive_rules, op9_secret_forest, op10_warc, op13_segment_trees,
 ]}
 
 ORACLES: dict[str, str] = {
+    "op13_segment_trees": r"""
+        WITH d AS MATERIALIZED (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        t AS MATERIALIZED (
+            SELECT lang, source, doc, term, count(*) AS n
+            FROM (SELECT lang, source, doc, unnest(terms) AS term FROM d) GROUP BY ALL),
+        kept AS MATERIALIZED (
+            SELECT lang, term, CAST(sum(n) AS HUGEINT) AS lang_n FROM t GROUP BY ALL HAVING count(*) >= 30),
+        c AS MATERIALIZED (
+            SELECT lang, source, term, CAST(sum(n) AS HUGEINT) AS n FROM t SEMI JOIN kept USING (lang, term)
+            GROUP BY ALL),
+        v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY ALL),
+        g AS MATERIALIZED (
+            SELECT lang, source, coalesce(any_value(v.v), 0) AS v, coalesce(any_value(lang_total), 0) AS lang_total,
+                coalesce(any_value(s.total), 0) AS total
+            FROM (SELECT DISTINCT lang, source FROM d)
+            LEFT JOIN v USING (lang)
+            LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) s USING (lang, source) GROUP BY ALL),
+        p AS MATERIALIZED (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (g.total + 5 * g.v) AS p,
+                1 + (1000000000 * (k.lang_n + 5)) // (g.lang_total + 5 * g.v) AS q
+            FROM g JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+                FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+            ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+        ranked AS (
+            SELECT lang, source, 'pair' AS part, item, value FROM pairs
+            UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value,
+            CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM ranked QUALIFY part = 'pair' OR rank <= 50
+    """,
     "op10_warc": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
