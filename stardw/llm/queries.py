@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, maxent_lm, mixing, partenum, perfect_dedup, secret_forest, segment_trees, training_order, warc
+from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, maxent_lm, mixing, partenum, perfect_dedup, secret_forest, segment_trees, training_order, warc, zone_maps
 from stardw.llm.tables import stored, table
 from stardw.session import work_folder
 
@@ -83,17 +83,58 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_zone_maps(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return zone_maps.clustered(embeddings).select(
+        F.col("key").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def op13_segment_trees(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("text", "lang", "source")
     return segment_trees.audited(documents)
 
 
+def _lloyd_sql(rounds: int = 3) -> str:
+    """The contract of op12 with every distance computed."""
+    parts = ["""
+        v AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x:
+                CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        e AS MATERIALIZED (SELECT row, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM v),
+        first AS (SELECT row, row_number() OVER (ORDER BY sha256('1:' || vec_id), x) - 1 AS c FROM v
+            QUALIFY c < 16),
+        c0 AS MATERIALIZED (SELECT c, i, x FROM first JOIN e USING (row))"""]
+    for turn in range(rounds + 1):
+        parts.append(f"""
+        d{turn} AS MATERIALIZED (
+            SELECT row, c, CAST(sum((e.x - o.x) * (e.x - o.x)) AS BIGINT) AS distance
+            FROM e JOIN c{turn} o USING (i) GROUP BY row, c
+            QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, c) = 1)""")
+        if turn < rounds:
+            parts.append(f"""
+        c{turn + 1} AS MATERIALIZED (
+            SELECT o.c, o.i, coalesce(m.x, o.x) AS x FROM c{turn} o LEFT JOIN (
+                SELECT c, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS x
+                FROM (SELECT c, i, sum(x) AS s, count(*) AS n FROM e JOIN d{turn} USING (row) GROUP BY ALL)) m
+            ON m.c = o.c AND m.i = o.i)""")
+    return "WITH " + ",".join(parts) + f"""
+        SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance,
+            CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+            CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+        FROM d{rounds} JOIN v USING (row)
+        JOIN (SELECT c, sha256(string_agg(x, ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c) USING (c)
+    """
+
+
 QUERIES = {f.__name__: f for f in [
     op1_lattice_sampling, op2_mixing, op3_training_order, op4_maxent_lm, op5_partenum, op6_perfect_dedup, op7_line_blocks,
-    op8_adaptive_rules, op9_secret_forest, op10_warc, op13_segment_trees,
+    op8_adaptive_rules, op9_secret_forest, op10_warc, op12_zone_maps, op13_segment_trees,
 ]}
 
 ORACLES: dict[str, str] = {
+    "op12_zone_maps": _lloyd_sql(),
     "op13_segment_trees": r"""
         WITH d AS MATERIALIZED (
             SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
