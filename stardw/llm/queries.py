@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, maxent_lm, mixing, partenum, perfect_dedup, secret_forest, segment_trees, training_order, warc, zone_maps
+from stardw.llm import adaptive_rules, lattice_sampling, line_blocks, maxent_lm, mixing, partenum, perfect_dedup, secret_forest, segment_trees, toxic_terms, training_order, warc, zone_maps
 from stardw.llm.tables import stored, table
 from stardw.session import work_folder
 
@@ -83,6 +83,12 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_toxic_terms(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxic_terms.train(documents, table(spark, folder, "labels").select("doc_id", "toxic"))
+    return toxic_terms.scored(documents, model).withColumnRenamed("key", "doc_id")
+
+
 def op12_zone_maps(spark: SparkSession, folder: str) -> DataFrame:
     embeddings = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return zone_maps.clustered(embeddings).select(
@@ -130,7 +136,7 @@ def _lloyd_sql(rounds: int = 3) -> str:
 
 QUERIES = {f.__name__: f for f in [
     op1_lattice_sampling, op2_mixing, op3_training_order, op4_maxent_lm, op5_partenum, op6_perfect_dedup, op7_line_blocks,
-    op8_adaptive_rules, op9_secret_forest, op10_warc, op12_zone_maps, op13_segment_trees,
+    op8_adaptive_rules, op9_secret_forest, op10_warc, op11_toxic_terms, op12_zone_maps, op13_segment_trees,
 ]}
 
 ORACLES: dict[str, str] = {
