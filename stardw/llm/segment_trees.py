@@ -40,11 +40,11 @@ from stardw.llm.tables import stored
 from stardw.llm.words import Spans, as_bytes, mix, slices
 
 LEAST_DOCS = 30
-SEGMENT = 1 << 14
+SEGMENT = 1 << 11
 BLOCK = 32
 TOP_TERMS = 50
 # Bytes of texts whose counts a task adds up before it passes them on.
-FLUSH = 1 << 26
+FLUSH = 1 << 25
 # Node pairs that one comparison step may hold.
 FRONTIER = 1 << 21
 SCALE = 10**9
