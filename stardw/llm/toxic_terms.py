@@ -393,7 +393,9 @@ def train(
 
     names = [f"x{i}" for i in range(FEATURES)]
     fitted = sample.filter("fits").select("text", "toxic").mapInArrow(
-        run, "toxic int, " + ", ".join(f"{c} double" for c in names)).orderBy("toxic", *names).toArrow()
+        run, "toxic int, " + ", ".join(f"{c} double" for c in names)).toArrow()  # `rows` ids at most
+    # In one order, whatever the tasks: sums of doubles depend on it.
+    fitted = fitted.sort_by([(c, "ascending") for c in ["toxic", *names]])
     x = np.stack([fitted.column(c).to_numpy() for c in names], axis=1) if fitted.num_rows else np.zeros((0, FEATURES))
     y = fitted.column("toxic").to_numpy().astype(float) if fitted.num_rows else np.zeros(0)
     return Model(lexicon, known, *_regression(x, y))
