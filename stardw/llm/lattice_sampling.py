@@ -30,7 +30,6 @@ get the same segmentations; a null key counts as 0. No text is shortened.
 from __future__ import annotations
 
 import heapq
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,8 +43,9 @@ from stardw.llm.words import _SPACE, HashIndex, Spans, as_bytes, mix, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SHARPNESS = 1.0
 SAMPLES = 2
-SLICE = 1 << 21
-CACHE = 3 << 20
+SLICE = 1 << 19
+# What a task remembers of lattices: 218 MB of edges and 29 MB of places.
+EDGES, PLACES = 1 << 23, 7 << 19
 # No uniform number of 53 bits gives a Gumbel draw above this.
 GREATEST = 36.8
 
@@ -90,7 +90,7 @@ class Pieces:
 
 
 class Lookup:
-    """Piece ids by the hash of a piece's bytes."""
+    """Piece ids by the hash of a piece's bytes, and what pieces begin with."""
 
     def __init__(self, pieces: Pieces):
         byte_ids = set(pieces.byte_id.tolist())
@@ -99,14 +99,23 @@ class Lookup:
         ends = np.cumsum([len(pieces.data[i]) for i in ids])
         starts = ends - [len(pieces.data[i]) for i in ids]
         self.longest = int((ends - starts).max())
-        self.index, self.ids = HashIndex(Spans(data)(starts, ends)), np.append(ids, np.int32(-1))
+        # Every beginning of a piece, with the piece's id where it is all of it.
+        size = ends - starts
+        owner = np.repeat(np.arange(len(ids)), size)
+        upto = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + 1
+        hashes = np.unique(Spans(data)(starts[owner], starts[owner] + upto))
+        whole = np.full(len(hashes), -1, np.int32)
+        whole[np.searchsorted(hashes, Spans(data)(starts, ends))] = ids
+        self.index, self.ids = HashIndex(hashes), np.append(whole, np.int32(-1))
         self.log_prob, self.byte_id = pieces.log_prob, pieces.byte_id
         self.size = np.array([len(d) for d in pieces.data])
         self.bytes_first = np.cumsum(self.size) - self.size
         self.bytes = np.frombuffer(b"".join(pieces.data), np.uint8)
 
-    def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        return self.ids[self.index(hashes)]
+    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether a piece begins so, and the id of the piece that ends here or -1."""
+        found = self.index(hashes)
+        return found >= 0, self.ids[found]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of a sequence of ids."""
@@ -124,41 +133,57 @@ class Lattice:
         remaining = np.repeat(bounds[1:], size) - np.arange(n)
         hashed = Spans(data)
         lead = np.flatnonzero((data & 0xC0) != 0x80)
-        begins = [lead]
-        places, lengths, ids = [], [], []
+        begins = lead
+        # Edges of each length, places in order.
+        places: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
         has_char = np.zeros(n, bool)
         after = np.full(n + 1, n)
         after[:n][lead[:-1]] = lead[1:] if len(lead) else 0
+        width = np.zeros(n, np.int32)
         for length in range(1, lookup.longest + 1):
             lead = lead[remaining[lead] >= length]
             if not len(lead):
                 break
-            found = lookup(hashed(lead, lead + length))
-            hit = found >= 0
-            places.append(lead[hit])
-            lengths.append(np.full(hit.sum(), length))
+            begun, found = lookup(hashed(lead, lead + length))
+            hit = np.flatnonzero(found >= 0)
+            at = lead[hit]
+            places.append(at)
             ids.append(found[hit])
-            has_char[lead[hit]] |= after[lead[hit]] - lead[hit] == length
+            lead = lead[begun]
+            has_char[at] |= after[at] - at == length
+            width[at] += 1
         # Characters without a piece, and continuation bytes without a beginning, become byte pieces.
-        lost = begins[0][~has_char[begins[0]]]
+        lost = begins[~has_char[begins]]
         char = np.minimum(after[lost] - lost, remaining[lost])
         first = bounds[:-1][(data[bounds[:-1]] & 0xC0) == 0x80] if n else bounds[:0]
         if len(first):
-            following = np.searchsorted(begins[0], first)
-            next_lead = np.where(following < len(begins[0]), begins[0][np.minimum(following, len(begins[0]) - 1)], n) \
-                if len(begins[0]) else np.full(len(first), n)
+            following = np.searchsorted(begins, first)
+            next_lead = np.where(following < len(begins), begins[np.minimum(following, len(begins) - 1)], n) \
+                if len(begins) else np.full(len(first), n)
             lost = np.concatenate([lost, first])
             char = np.concatenate([char, np.minimum(next_lead - first, remaining[first])])
-        places.append(lost)
-        lengths.append(char)
-        ids.append(np.full(len(lost), -1, np.int32))
-        place, length, piece = np.concatenate(places), np.concatenate(lengths), np.concatenate(ids)
-        # Edges by the bytes left, then by place and length.
+        width[lost] += 1
+        # Edges by the bytes left at their place, then by place and length: each length fills the next slot.
         short = remaining.astype(np.int16) if n and remaining.max() < 1 << 15 else remaining
-        rank = np.empty(n, np.int64)
-        rank[np.argsort(short, kind="stable")] = np.arange(n)
-        order = np.argsort((rank[place] << 8) | np.minimum(length, 255))
-        place, length, piece = place[order], length[order], piece[order]
+        rank = np.argsort(short, kind="stable")
+        slot = np.empty(n, np.int64)
+        ends = np.cumsum(width[rank])
+        slot[rank] = ends - width[rank]
+        edges = int(ends[-1]) if n else 0
+        place, length, piece = np.empty(edges, np.int64), np.empty(edges, np.int32), np.empty(edges, np.int32)
+        order = np.argsort(char, kind="stable")
+        lost, char = lost[order], char[order]
+        reach = max(len(places), int(char[-1]) if len(char) else 0)
+        cuts = np.searchsorted(char, np.arange(1, reach + 2))
+        for i in range(reach):
+            groups = [(places[i], ids[i])] if i < len(places) else []
+            if cuts[i] < cuts[i + 1]:
+                groups.append((lost[cuts[i]:cuts[i + 1]], np.int32(-1)))
+            for at, found in groups:
+                here = slot[at]
+                place[here], length[here], piece[here] = at, i + 1, found
+                slot[at] += 1
         score = np.where(piece >= 0, lookup.log_prob[piece], length * lookup.log_prob[lookup.byte_id[0]])
 
         # Backward sums, places with fewer bytes left first.
@@ -186,50 +211,67 @@ class Lattice:
         self.first = np.zeros(n, np.int64)
         self.count = np.zeros(n, np.int64)
         self.first[place[cuts]], self.count[place[cuts]] = cuts, width
-        with np.errstate(divide="ignore"):
-            self.log_share = np.log(self.share)
 
 
 class Lattices:
-    """The lattices of the chunks that a task has met, up to `CACHE` places; beyond that it begins anew."""
+    """The lattices of the chunks that a task has met.
+
+    They lie one after the other in buffers of `EDGES` edges and `PLACES` places,
+    26 bytes an edge and 8 a place. What does not fit beside the others begins the
+    buffers anew; only a slice that needs more by itself gets larger ones.
+    """
 
     def __init__(self, lookup: Lookup):
         self.lookup = lookup
-        self.reset()
+        self._begin(EDGES, PLACES)
 
-    def reset(self) -> None:
-        none = np.zeros(0, np.int64)
-        self.keys, self.states = np.zeros(0, _U), none
-        self.first, self.count = none.astype(np.int32), none.astype(np.int32)
-        self.length, self.piece = none.astype(np.int32), none.astype(np.int32)
-        self.share, self.upto, self.log_share = np.zeros(0), np.zeros(0), np.zeros(0)
+    def _begin(self, edges: int, places: int) -> None:
+        self.keys, self.states = np.zeros(0, _U), np.zeros(0, np.int64)
+        self.edges = self.places = 0
+        if edges > EDGES or places > PLACES or len(getattr(self, "share", ())) != edges:
+            self.first, self.count = np.empty(places, np.int32), np.empty(places, np.int32)
+            self.length, self.piece = np.empty(edges, np.int16), np.empty(edges, np.int32)
+            self.share, self.upto = np.empty(edges), np.empty(edges)
 
     def of(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The first place of the lattice of each chunk; `keys` are sorted hashes of the chunks."""
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == keys[inside]
         size = end - start
-        if known.any() and len(self.first) + size[~known].sum() > CACHE:
-            self.reset()
-            known[:], at[:] = False, 0
-        new = np.flatnonzero(~known)
-        cut = np.concatenate([[0], np.cumsum(size[new])])
-        chosen = np.repeat(start[new] - cut[:-1], size[new]) + np.arange(cut[-1])
-        more = Lattice(data[chosen], cut, self.lookup)
-        base = len(self.first)
+        if len(self.share) != EDGES:
+            self._begin(EDGES, PLACES)
+        while True:
+            at = np.searchsorted(self.keys, keys)
+            known = np.zeros(len(keys), bool)
+            inside = at < len(self.keys)
+            known[inside] = self.keys[at[inside]] == keys[inside]
+            new = np.flatnonzero(~known)
+            if known.any() and self.places + size[new].sum() > PLACES:
+                self._begin(EDGES, PLACES)
+                continue
+            cut = np.concatenate([[0], np.cumsum(size[new])])
+            chosen = np.repeat(start[new] - cut[:-1], size[new]) + np.arange(cut[-1])
+            more = Lattice(data[chosen], cut, self.lookup)
+            edges, places = self.edges + len(more.share), self.places + len(more.first)
+            if edges <= len(self.share) and places <= len(self.first):
+                break
+            self._begin(max(EDGES, len(more.share)), max(PLACES, len(more.first)))
+            if not known.any():
+                edges, places, at = len(more.share), len(more.first), np.zeros(len(keys), np.int64)
+                break
         states = np.empty(len(keys), np.int64)
         states[known] = self.states[at[known]]
-        states[new] = base + cut[:-1]
-        self.first = np.concatenate([self.first, (more.first + len(self.share)).astype(np.int32)])
-        for name in ("count", "length", "piece", "share", "upto", "log_share"):
-            mine = getattr(self, name)
-            setattr(self, name, np.concatenate([mine, getattr(more, name).astype(mine.dtype, copy=False)]))
+        states[new] = self.places + cut[:-1]
+        self.first[self.places:places] = more.first + self.edges
+        self.count[self.places:places] = more.count
+        for name in ("length", "piece", "share", "upto"):
+            getattr(self, name)[self.edges:edges] = getattr(more, name)
+        self.edges, self.places = edges, places
         self.keys = np.insert(self.keys, at[new], keys[new])
         self.states = np.insert(self.states, at[new], states[new])
         return states
 
+    def log_share(self, edge: np.ndarray) -> np.ndarray:
+        return np.log(self.share[edge])
+
     def draw(self, place: np.ndarray, uniform: np.ndarray) -> np.ndarray:
         """An edge from each place, by its probability."""
         edge = self.first[place]
@@ -293,48 +335,62 @@ class Texts:
             # The prefix of each row's new path comes from the path that its set was found on.
             new = np.full(len(self.data), -1, np.int32)
             value, start = np.full(self.rows, -np.inf), np.full(self.rows, -1)
-            cont_at, cont_state, cont_end, cont_row = [], [], [], []
-            for r in np.flatnonzero(rows):
-                minus, at, path, used, before = taken[r]
-                value[r], start[r] = -minus, at
-                low = self.bounds[r]
-                new[low:at] = samples[path][1][low:at]
-                chunk = int(np.searchsorted(self.start, at, "right")) - 1
-                state = self.state[chunk] + at - self.start[chunk]
-                edge = self._other(r, at, state, used, turn)
-                new[at] = edge
-                used = (*used, edge)
-                rest = 1.0 - math.fsum(float(self.lattice.share[e]) for e in used)
-                if len(used) < self.lattice.count[state] and rest > 0:
-                    draw = float(self._rest(np.array([r]), np.array([at]), turn, before + math.log(rest), value[r])[0])
-                    heapq.heappush(queues[r], (-draw, at, path, used, before))
-                step = int(self.lattice.length[edge])
-                if at + step < self.end[chunk]:
-                    cont_at.append(at + step)
-                    cont_state.append(state + step)
-                    cont_end.append(self.end[chunk])
-                    cont_row.append(r)
+            some = np.flatnonzero(rows)
+            at = np.array([taken[r][1] for r in some], np.int64)
+            value[some], start[some] = [-taken[r][0] for r in some], at
+            for path in range(turn):
+                mine = np.array([taken[r][2] == path for r in some], bool)
+                size = at[mine] - self.bounds[some[mine]]
+                copied = np.repeat(self.bounds[some[mine]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                new[copied] = samples[path][1][copied]
+            chunk = np.searchsorted(self.start, at, "right") - 1
+            state = self.state[chunk] + at - self.start[chunk]
+            edge, rest = self._other(some, at, state, [taken[r][3] for r in some], turn)
+            new[at] = edge
+            before = np.array([taken[r][4] for r in some])
+            more = np.flatnonzero(rest > 0)
+            draws = self._rest(some[more], at[more], turn, before[more] + np.log(rest[more]), value[some[more]])
+            for i, draw in zip(more, draws, strict=True):
+                r = some[i]
+                heapq.heappush(queues[r], (
+                    -float(draw), int(at[i]), taken[r][2], (*taken[r][3], int(edge[i])), taken[r][4]))
+            step = self.lattice.length[edge]
+            on = at + step < self.end[chunk]
             chunks = np.flatnonzero(rows[self.row] & (self.start > start[self.row]))
             self.walk(
-                new, np.concatenate([np.array(cont_at, int), self.start[chunks]]),
-                np.concatenate([np.array(cont_state, int), self.state[chunks]]),
-                np.concatenate([np.array(cont_end, int), self.end[chunks]]),
-                np.concatenate([np.array(cont_row, int), self.row[chunks]]), turn,
+                new, np.concatenate([(at + step)[on], self.start[chunks]]),
+                np.concatenate([(state + step)[on], self.state[chunks]]),
+                np.concatenate([self.end[chunk[on]], self.end[chunks]]),
+                np.concatenate([some[on], self.row[chunks]]), turn,
             )
             samples.append((rows, new, value))
             self._queue(queues, new, value, start, turn, k)
         kappa = np.array([-q[0][0] if q else -np.inf for q in queues])
         return samples, kappa
 
-    def _other(self, r: int, at: int, state: int, used: tuple, turn: int) -> int:
-        """An edge from `state` that is not in `used`, by its probability among those."""
-        first = int(self.lattice.first[state])
-        share = self.lattice.share[first:first + int(self.lattice.count[state])].copy()
-        share[[e - first for e in used]] = 0.0
-        key = self.seeds[r:r + 1] + _U((at - int(self.bounds[r])) * 0x9FB21C651E98DF25 % 2**64)
-        u = float(_uniform(mix(key) ^ _U(turn * 2 + 1))[0]) * share.sum()
-        pick = int(np.searchsorted(np.cumsum(share), u, "right"))
-        return first + min(pick, int(np.flatnonzero(share)[-1]))
+    def _other(self, row: np.ndarray, at: np.ndarray, state: np.ndarray, used: list[tuple], turn: int):
+        """For each row an edge from `state` that is not in `used`, by its probability among those.
+
+        Then what probability the edges have that are left after it, 0 if there are none.
+        """
+        first, count = self.lattice.first[state].astype(np.int64), self.lattice.count[state].astype(np.int64)
+        cut = np.cumsum(count) - count
+        share = self.lattice.share[np.repeat(first - cut, count) + np.arange(count.sum())]
+        taken = np.array([len(u) for u in used], np.int64)
+        gone = np.array([e for u in used for e in u], np.int64) - np.repeat(first - cut, taken)
+        spent = np.bincount(np.repeat(np.arange(len(row)), taken), weights=share[gone], minlength=len(row))
+        share[gone] = 0.0
+        upto = np.cumsum(share)
+        low = upto[cut] - share[cut]
+        whole = upto[cut + count - 1] - low
+        key = self.seeds[row] + (at - self.bounds[row]).astype(_U) * _U(0x9FB21C651E98DF25)
+        u = _uniform(mix(key) ^ _U(turn * 2 + 1)) * whole + low
+        # The last edge that is left, should rounding lead beyond it.
+        left = np.where(share > 0, np.arange(len(share)), -1)
+        pick = np.minimum(np.searchsorted(upto, u, "right"), np.maximum.reduceat(left, cut) if len(cut) else left)
+        pick = np.maximum(pick, cut)
+        behind = 1.0 - spent - share[pick]
+        return pick - cut + first, np.where(taken + 1 < count, behind, 0.0)
 
     def _rest(self, row, at, turn: int, location, limit):
         """A Gumbel draw at `location` that is at most `limit`."""
@@ -358,7 +414,7 @@ class Texts:
             at = every[np.repeat(low[todo] - cut, size) + np.arange(size.sum())]
             which = np.repeat(np.arange(len(todo)), size)
             row, edge = todo[which], edges[at]
-            total = np.concatenate([[0.0], np.cumsum(self.lattice.log_share[edge])])
+            total = np.concatenate([[0.0], np.cumsum(self.lattice.log_share(edge))])
             before = total[:-1] - total[cut[which]]
             with np.errstate(divide="ignore"):
                 location = before + np.log1p(-np.minimum(self.lattice.share[edge], 1.0))
@@ -384,16 +440,17 @@ class Texts:
         """Ids of the pieces of a segmentation, where each row's begin, and each row's log probability."""
         at = np.flatnonzero(edges >= 0)
         edge = edges[at]
-        piece = self.lattice.piece[edge]
-        count = np.where(piece >= 0, 1, self.lattice.length[edge])
-        first = np.cumsum(count) - count
-        out = np.repeat(piece, count)
-        raw = np.flatnonzero(out < 0)
-        if len(raw):
+        out = self.lattice.piece[edge]
+        first = np.arange(len(at))
+        if (out < 0).any():
+            count = np.where(out >= 0, 1, self.lattice.length[edge])
+            first = np.cumsum(count) - count
+            out = np.repeat(out, count)
+            raw = np.flatnonzero(out < 0)
             owner = np.repeat(np.arange(len(at)), count)[raw]
             out[raw] = self.lookup.byte_id[self.data[at[owner] + raw - first[owner]]]
         cut = np.searchsorted(at, self.bounds)
-        log = np.concatenate([[0.0], np.cumsum(self.lattice.log_share[edge])])
+        log = np.concatenate([[0.0], np.cumsum(self.lattice.log_share(edge))])
         return out, np.append(first, len(out))[cut], log[cut[1:]] - log[cut[:-1]]
 
 
