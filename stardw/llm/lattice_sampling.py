@@ -43,9 +43,9 @@ from stardw.llm.words import _SPACE, HashIndex, Spans, as_bytes, mix, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SHARPNESS = 1.0
 SAMPLES = 2
-SLICE = 1 << 19
-# What a task remembers of lattices: 218 MB of edges and 29 MB of places.
-EDGES, PLACES = 1 << 23, 7 << 19
+SLICE = 1 << 18
+# What a task remembers of lattices: 109 MB of edges and 14 MB of places.
+EDGES, PLACES = 1 << 22, 7 << 18
 # No uniform number of 53 bits gives a Gumbel draw above this.
 GREATEST = 36.8
 
