@@ -82,6 +82,11 @@ def point_in_time_lookup(m):
     return point_in_time(m, "lookup")
 
 
+@query("c04_point_in_time_carried", POINT_IN_TIME)
+def point_in_time_carried(m):
+    return point_in_time(m, "carried")
+
+
 @query("c04_point_in_time_split", POINT_IN_TIME)
 def point_in_time_split(m):
     return point_in_time(m, "bucket", ["customer_id"])

@@ -39,7 +39,7 @@ def facts(frame):
     )
 
 
-FORMS = ["range", "bucket", "lookup"]
+FORMS = ["range", "bucket", "lookup", "carried"]
 MATCHED = [(1, "old"), (2, "new"), (3, "new"), (5, "late"), (6, "one")]
 
 
@@ -113,6 +113,37 @@ def test_all_forms_agree_with_brute_force_on_a_hot_member(spark):
         assert rows(out, "n", "v") == wanted, (form, marked)
 
 
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_versions_are_carried_over_the_edges_of_ranges(spark, parts):
+    """A hot member on one day, a member without versions, NULLs and days before the first version."""
+    data, versions, _, _ = skewed(spark, 2000)
+    data = [(n, m, date(2016, 3, 1) if m == "HOT" and n % 2 else d) for n, m, d in data]
+    versions = [v for v in versions if v[2] > date(1900, 1, 1) or v[0] != "HOT"]
+    data += [(9000, "HOT", date(1950, 1, 1)), (9001, None, date(2016, 1, 1)), (9002, "HOT", None),
+             (9003, "none", date(2016, 1, 1)), (9004, "m1", date(1900, 1, 1))]
+    data += [(9005, "HOT", date(2016, 3, 1))] * 3
+    versions += [(None, "null", date(1900, 1, 1), date(9999, 12, 31), True)]
+    wanted = []
+    for n, member, day in data:
+        hits = [v for k, v, a, b, _ in versions if k is not None and k == member and day and a <= day <= b]
+        wanted.append((n, hits[0] if hits else None))
+    frames = spark.createDataFrame(data, FACTS), spark.createDataFrame(versions, VERSIONS)
+    left = asof.as_of_join(*frames, "id", "day", ["v"], how="left", form="carried", parts=parts)
+    assert rows(left, "n", "v") == sorted(wanted, key=repr)
+    inner = asof.as_of_join(*frames, "id", "day", ["v"], form="carried", parts=parts)
+    assert rows(inner, "n", "v") == sorted([w for w in wanted if w[1]], key=repr)
+
+
+def test_a_hot_member_spans_many_ranges(spark, tmp_path, monkeypatch):
+    _, _, facts, dim = skewed(spark)
+    monkeypatch.setattr(asof, "work_folder", lambda spark, name: str(tmp_path / name))
+    asof.as_of_join(facts, dim, "id", "day", ["v"], form="carried", parts=12).count()
+    ranges = spark.read.parquet(str(tmp_path / "as-of-ranges")).groupBy("_part").agg(
+        F.count("*").alias("n"), F.max(F.col("_key") == "HOT").alias("hot"))
+    assert ranges.filter("hot").count() >= 4
+    assert ranges.agg(F.max("n")).first()[0] < 2 * 6000 / 12 + 300
+
+
 def test_hot_key_is_dealt_to_many_places(spark):
     _, _, facts, _ = skewed(spark)
     lookup = facts.select("id").distinct().withColumn("label", F.upper("id"))
