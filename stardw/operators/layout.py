@@ -23,11 +23,12 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
 def compact(
     spark: SparkSession, path: str, out: str, target_bytes: int = 512 << 20,
     partition_by: Sequence[str] = (),
-) -> None:
+) -> DataFrame:
     """Write a table again in files of about `target_bytes`, filed as before by `partition_by`.
 
     No row is shuffled: a task reads files up to that size together and writes
-    them as one file, in each partition that they come from.
+    them as one file, in each partition that they come from. Returns one row with
+    the number of files and their bytes before and after.
     """
     reader = spark.newSession()
     reader.conf.set("spark.sql.files.maxPartitionBytes", target_bytes)
@@ -37,6 +38,13 @@ def compact(
     if sorted(partition_by) != sorted(partition_columns(spark, path)):
         raise ValueError(f"{path} is filed by {partition_columns(spark, path)}")
     table.write.partitionBy(*partition_by).parquet(out)
+    return layout_of(spark, path, "before").join(layout_of(spark, out, "after"))
+
+
+def layout_of(spark: SparkSession, path: str, moment: str) -> DataFrame:
+    """One row: files of a table and their bytes."""
+    return file_sizes(spark, path).agg(
+        F.count("*").alias(f"files_{moment}"), F.coalesce(F.sum("length"), F.lit(0)).alias(f"bytes_{moment}"))
 
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:

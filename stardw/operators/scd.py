@@ -183,6 +183,85 @@ def scd2_history(
     )
 
 
+def scd2_absorb(
+    dim: DataFrame | None,
+    events: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    day: str,
+    order_by: Sequence[str],
+    sk: str,
+    untracked: Sequence[str] = (),
+    first_from: date | None = FIRST_DAY,
+) -> DataFrame:
+    """Versions with further events worked in, in whatever order these arrive.
+
+    Each version keeps in `seen` the days on which an event confirmed it, with
+    that event's place in `order_by`: an event older than the last version can
+    split a version in two (the days seen behind it keep the old value), move its
+    ends, or make it equal to its neighbour, which removes one. So the state after
+    any sequence of batches equals `scd2_history` of all their events; with no
+    `dim` it is built from `events` alone. `untracked` columns follow the newest
+    event and stand on all versions of a member.
+
+    Only members of the batch are taken apart and put together, by windows over
+    at most one row per day; all other versions pass through. Of two events of a
+    day the later one in `order_by` counts, and of equal ones the stored one. The
+    surrogate key of a version follows its first day: facts of the days that a
+    late event moves to another version have to be keyed anew.
+    """
+    when = F.struct(F.col(day).alias("day"), *order_by)
+    daily = events.groupBy(key, F.col(day).alias("_day")).agg(
+        F.max_by(F.struct(*tracked), when).alias("_v"), F.max(when).alias("_when"),
+        F.max_by(F.struct(*untracked) if untracked else F.lit(None).cast("struct<none:int>"), when).alias("_t"),
+    ).withColumn("_stored", F.lit(False))
+    rest = None
+    if dim is not None:
+        members = daily.select(key).distinct()
+        rest = dim.join(members, key, "left_anti")
+        known = dim.join(members, key, "left_semi").select(
+            key, F.struct(*tracked).alias("_v"),
+            (F.struct(*untracked) if untracked else F.lit(None).cast("struct<none:int>")).alias("_t"),
+            F.explode("seen").alias("_when"),
+        ).select(key, F.col("_when.day").alias("_day"), "_v", "_when", "_t", F.lit(True).alias("_stored"))
+        both = daily.unionByName(known)
+        rank = F.struct("_when", "_stored")
+        daily = both.groupBy(key, "_day").agg(
+            F.max_by("_v", rank).alias("_v"), F.max("_when").alias("_when"), F.max_by("_t", rank).alias("_t"))
+    by_day = Window.partitionBy(key).orderBy("_day")
+    newest = Window.partitionBy(key)
+    before = F.lag("_v").over(by_day)
+    turns = (F.row_number().over(by_day) == 1) | changed(before, F.col("_v"))
+    runs = (
+        daily.withColumn("_t", F.max_by("_t", "_when").over(newest))
+        .withColumn("_turn", turns.cast("int")).withColumn("_run", F.sum("_turn").over(by_day))
+        .groupBy(key, "_run")
+        .agg(F.first("_v").alias("_v"), F.first("_t").alias("_t"), F.sort_array(F.collect_list("_when")).alias("seen"))
+    )
+    by_run = Window.partitionBy(key).orderBy("_run")
+    until = F.lead(F.col("seen")[0]["day"]).over(by_run)
+    start = F.col("seen")[0]["day"]
+    if first_from is not None:
+        start = F.when(F.col("_run") == 1, F.lit(first_from)).otherwise(start)
+    built = runs.withColumns({"_until": until, "valid_from": start}).select(
+        surrogate_key(F.col(key), F.col("valid_from")).alias(sk),
+        key,
+        *[F.col(f"_v.{c}").alias(c) for c in tracked],
+        *[F.col(f"_t.{c}").alias(c) for c in untracked],
+        "valid_from",
+        F.coalesce(F.date_sub("_until", 1), F.lit(LAST_DAY)).alias("valid_to"),
+        F.col("_until").isNull().alias("is_current"),
+        "seen",
+    )
+    return built if rest is None else rest.select(*built.columns).unionByName(built)
+
+
+def with_profile(dim: DataFrame, members: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Untracked columns of the members on all their versions, before the validity columns."""
+    own = [c for c in dim.columns if c not in VALIDITY]
+    return dim.join(members.select(key, *columns), key, "left").select(*own, *columns, *VALIDITY)
+
+
 def scd3_initial(snapshot: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
     """Current values from the source, nothing known before."""
     types = dict(snapshot.dtypes)

@@ -66,7 +66,7 @@ def run(model: Model, folder: str, load_ts: datetime) -> None:
     step("dim_employee", model.dim_employee)
     step("dim_order_flags", model.flags)
     step("dim_customer", model.dim_customer)
-    step("dim_product", model.dim_product)
+    step("dim_product", model.dim_product_profile)
     step("fact_sales", lambda: facts.sales_fact(
         model.lines(), model.orders(), stored("dim_customer"), stored("dim_product"),
         stored("dim_employee"), stored("dim_shipper"), stored("dim_order_flags"),

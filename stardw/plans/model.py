@@ -261,6 +261,23 @@ class Model:
             None, "product_sk",
         )
 
+    def dim_product_profile(self) -> DataFrame:
+        """Product versions with name, category and brand beside the price."""
+        return scd.with_profile(
+            self.dim_product(), self.products(), "product_id", ["product_name", "category", "brand"])
+
+    def dim_customer_absorbed(self, parts: int = 3) -> DataFrame:
+        """Customer versions from batches of orders that do not come in the order of their days."""
+        orders = self.orders().select("customer_id", "order_date", "order_id", "priority", "status", "ship_via")
+        dim = None
+        for part in range(parts):
+            batch = orders.filter(F.pmod(F.xxhash64("order_id"), F.lit(parts)) == part)
+            dim = self.written(scd.scd2_absorb(
+                dim, batch, "customer_id", ["priority", "status"], "order_date",
+                ["order_date", "order_id"], "customer_sk", ["ship_via"],
+            ))
+        return dim
+
     def dim_customer_scd3(self) -> DataFrame:
         attrs = ["priority", "status"]
         return self.in_turn(

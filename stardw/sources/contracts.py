@@ -64,8 +64,8 @@ WAREHOUSE = {
         valid_to=DAY, is_current=FLAG,
     ),
     "dim_product": contract(
-        product_sk=ID, product_id=ID, unit_price=PRODUCT, valid_from=DAY, valid_to=DAY,
-        is_current=FLAG,
+        product_sk=ID, product_id=ID, unit_price=PRODUCT, product_name=TEXT, category=TEXT,
+        brand=TEXT, valid_from=DAY, valid_to=DAY, is_current=FLAG,
     ),
     "dim_employee": contract(
         employee_sk=ID, employee_id=ID, full_name=TEXT, reports_to=ID, manager_name=TEXT,

@@ -11,16 +11,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
-from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BooleanType, StructField, StructType
 
-from stardw.operators.incremental import apply_changes
-from stardw.operators.merge import current_state
-from stardw.operators.versions import any_version, history, publish, read_version
+from stardw.operators.buckets import BUCKETS, apply_batch
 
 
 def stream_name(checkpoint: str) -> str:
@@ -50,27 +45,18 @@ def stream_changes(
     keys: Sequence[str],
     order_by: Sequence[str],
     is_delete: Column,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
-    """Apply change events batch by batch; each batch publishes the next version of the table.
+    """Apply change events batch by batch to a table in hash buckets (`buckets.state` reads it).
 
-    A batch starts from the last published version, the empty table if there is
-    none. A repeated batch finds its own version in the log and replaces it,
-    starting from the one before. One stream at a time may run on a path.
+    A batch rewrites the buckets of its keys only. One that comes again after it
+    was published is passed over; one that broke off before is applied from the
+    state in which it began. One stream at a time may run on a path.
     """
-    schema = StructType([*stream.schema.fields, StructField("is_deleted", BooleanType())])
     name = stream_name(checkpoint)
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark, label = batch.sparkSession, f"batch {number} of {name}"
-        last = -1
-        if any_version(spark, path):
-            log = history(spark, path)
-            mine = F.min(F.when(F.col("operation") == label, F.col("version")))
-            own, newest = log.agg(mine, F.max("version")).first()  # one row of a log
-            last = newest if own is None else own - 1
-        before = spark.createDataFrame([], schema) if last < 0 else read_version(spark, path, last)
-        after = current_state(apply_changes(before, batch, keys, order_by, is_delete))
-        publish(after, path, last + 1, datetime.now(timezone.utc), label)
+        apply_batch(path, batch, keys, order_by, is_delete, f"batch {number} of {name}", buckets)
 
     return (
         stream.writeStream.foreachBatch(apply)

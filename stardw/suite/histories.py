@@ -188,6 +188,30 @@ def scd2_product_history(m):
     return m.dim_product()
 
 
+@query("p17_scd2_product_profile", with_("prod", f"""
+SELECT {sk('v.product_id', 'v.valid_from')} AS product_sk, v.product_id, CAST(v.unit_price AS DOUBLE) AS unit_price,
+       p.p_name AS product_name, p.p_type AS category, p.p_brand AS brand,
+       CAST(v.valid_from AS VARCHAR) AS valid_from, CAST(v.valid_to AS VARCHAR) AS valid_to, v.is_current
+FROM prod v LEFT JOIN part p ON p.p_partkey = v.product_id"""))
+def scd2_product_profile(m):
+    """Columns that open no version stand on every version of a product."""
+    return m.dim_product_profile()
+
+
+@query("p17_scd2_late_events", with_("cust", f"""
+SELECT {sk('v.customer_id', 'v.valid_from')} AS customer_sk, v.customer_id, v.priority, v.status, n.ship_via,
+       CAST(v.valid_from AS VARCHAR) AS valid_from, CAST(v.valid_to AS VARCHAR) AS valid_to, v.is_current,
+       d.days AS days_seen
+FROM cust v JOIN (SELECT customer_id, arg_max(ship_via, (order_date, order_id)) AS ship_via FROM o
+                  GROUP BY customer_id) n ON n.customer_id = v.customer_id
+JOIN (SELECT v.customer_id, v.valid_from, CAST(count(DISTINCT o.order_date) AS INTEGER) AS days
+      FROM cust v JOIN o ON o.customer_id = v.customer_id AND o.order_date BETWEEN v.valid_from AND v.valid_to
+      GROUP BY ALL) d ON d.customer_id = v.customer_id AND d.valid_from = v.valid_from"""))
+def scd2_late_events(m):
+    """Three batches, each from all days: versions are split and closed up as events arrive late."""
+    return m.dim_customer_absorbed().withColumn("days_seen", F.size("seen")).drop("seen")
+
+
 @query("p18_scd3_initial", with_("loads", """
 SELECT customer_id, priority AS current_priority, CAST(NULL AS VARCHAR) AS previous_priority,
        CAST(NULL AS VARCHAR) AS priority_changed_on, status AS current_status,

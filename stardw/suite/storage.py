@@ -7,8 +7,9 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from stardw.functions import date_key
-from stardw.operators import layout, versions
+from stardw.operators import buckets, incremental, layout, versions
 from stardw.session import work_folder
+from stardw.sources import manifest
 from stardw.streaming import stream_append, stream_changes
 
 from .registry import query
@@ -117,6 +118,25 @@ def streamed_changes(m):
         event_stream(m), path, state, ["user_id"], ["ts", "event_id"],
         F.col("event_type") == "error",
     ).awaitTermination()
-    last = versions.latest_version(m.spark, path)
-    users = versions.read_version(m.spark, path, last).filter(~F.col("is_deleted"))
+    users = incremental.live(buckets.state(m.spark, path, m.events().schema))
     return users.select("user_id", "event_id", "event_type", "value", "ts")
+
+
+@query("a20_bucketed_changes", f"""
+SELECT u.*, CAST(b.buckets AS BOOLEAN) AS touched_only
+FROM (SELECT * FROM ({LATEST_EVENT}) WHERE event_type <> 'error') u, (SELECT true AS buckets) b""")
+def bucketed_changes(m):
+    """A feed in two batches, the second one of few users: it may rewrite no more buckets than it has users."""
+    events, path = m.events(), work_folder(m.spark, "users-buckets")
+    keys, order, deleted = ["user_id"], ["ts", "event_id"], F.col("event_type") == "error"
+    late = F.pmod(F.xxhash64("user_id"), F.lit(64)) == 0
+    newest = events.agg(F.max("ts")).scalar()
+    second = late & (F.col("ts") > newest - F.expr("interval 5 days"))
+    buckets.apply_batch(path, events.filter(~second), keys, order, deleted, "first", 64)
+    before = manifest.newest(m.spark, path)
+    buckets.apply_batch(path, events.filter(second), keys, order, deleted, "second")
+    after = manifest.newest(m.spark, path)
+    rewritten = [p for p in after.pieces if after.pieces[p][0] != before.pieces.get(p, ("",))[0]]
+    users = incremental.live(buckets.state(m.spark, path, events.schema))
+    return users.select("user_id", "event_id", "event_type", "value", "ts").withColumn(
+        "touched_only", F.lit(rewritten in ([], ["0"])))

@@ -1,4 +1,5 @@
-from datetime import date
+import random
+from datetime import date, timedelta
 
 import pytest
 from conftest import D, rows, same_rows
@@ -170,3 +171,82 @@ def test_no_gaps_after_loads(initial, frame):
             F.col("valid_to"))
     )
     assert quality.version_gaps(torn, "id").count() == 2
+
+
+EVENT = "id string, n int, v string, name string, day date"
+
+
+def absorbed(frame, batches):
+    dim = None
+    for batch in batches:
+        dim = scd.scd2_absorb(dim, frame(batch, EVENT), "id", ["v"], "day", ["n"], "sk", ["name"])
+    return dim
+
+
+SHOWN = ["id", "v", "name", "valid_from", "valid_to", "is_current"]
+
+
+def test_a_late_event_splits_a_version(frame):
+    first = [("A", 1, "x", "a", D("2020-01-01")), ("A", 3, "x", "b", D("2020-03-01"))]
+    late = [("A", 2, "y", "old", D("2020-02-01"))]
+    assert rows(absorbed(frame, [first]), *SHOWN) == [
+        ("A", "x", "b", D("1900-01-01"), D("9999-12-31"), True)]
+    # The day seen behind the late event keeps its value; the newest event still names the member.
+    assert rows(absorbed(frame, [first, late]), *SHOWN) == [
+        ("A", "x", "b", D("1900-01-01"), D("2020-01-31"), False),
+        ("A", "x", "b", D("2020-03-01"), D("9999-12-31"), True),
+        ("A", "y", "b", D("2020-02-01"), D("2020-02-29"), False),
+    ]
+
+
+def test_a_late_event_removes_a_version(frame):
+    first = [("A", 1, "x", "a", D("2020-01-01")), ("A", 2, "y", "a", D("2020-02-01")), ("A", 3, "x", "a", D("2020-03-01"))]
+    assert absorbed(frame, [first]).count() == 3
+    # A later word on the same day takes the middle version back.
+    again = [("A", 4, "x", "a", D("2020-02-01"))]
+    assert rows(absorbed(frame, [first, again]), *SHOWN) == [
+        ("A", "x", "a", D("1900-01-01"), D("9999-12-31"), True)]
+    # An earlier word on a day that has a later one changes nothing.
+    earlier = [("A", 0, "z", "z", D("2020-02-01"))]
+    assert same_rows(absorbed(frame, [first, earlier]), absorbed(frame, [first]))
+
+
+def test_members_outside_the_batch_pass_through(frame):
+    first = [("A", 1, "x", "a", D("2020-01-01")), ("B", 1, "p", "b", D("2020-01-01")), ("B", 2, None, "c", D("2020-05-01"))]
+    out = absorbed(frame, [first, [("A", 5, None, None, D("2019-01-01"))]])
+    assert rows(out.filter("id = 'B'"), *SHOWN) == [
+        ("B", "p", "c", D("1900-01-01"), D("2020-04-30"), False),
+        ("B", None, "c", D("2020-05-01"), D("9999-12-31"), True)]
+    assert rows(out.filter("id = 'A'"), *SHOWN) == [
+        ("A", "x", "a", D("2020-01-01"), D("9999-12-31"), True),
+        ("A", None, "a", D("1900-01-01"), D("2019-12-31"), False)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_any_order_of_arrival_equals_a_rebuild(frame, seed):
+    rng = random.Random(seed)
+    events = [
+        ("HOT" if rng.random() < 1 / 3 else f"m{rng.randrange(6)}", n, rng.choice(["x", "y", None]), f"name{n}",
+         date(2020, 1, 1) + timedelta(rng.randrange(25)))
+        for n in range(150)
+    ]
+    rng.shuffle(events)
+    cuts = sorted(rng.sample(range(1, 150), 2))
+    batches = [events[a:b] for a, b in zip([0, *cuts], [*cuts, 150])]
+    found = absorbed(frame, batches)
+    assert rows(found, *SHOWN) == rows(absorbed(frame, [events]), *SHOWN)
+    plain = scd.scd2_history(frame(events, EVENT), "id", ["v"], "day", ["day", "n"], "sk")
+    assert rows(found, "sk", "id", "v", "valid_from", "valid_to", "is_current") == rows(
+        plain, "sk", "id", "v", "valid_from", "valid_to", "is_current")
+    # The same events once more change nothing.
+    assert rows(absorbed(frame, [*batches, batches[0]]), *SHOWN) == rows(found, *SHOWN)
+
+
+def test_profile_stands_on_every_version(frame):
+    dim = scd.scd2_history(
+        frame([("A", 1, "x", "a", D("2020-01-01")), ("A", 2, "y", "a", D("2020-02-01"))], EVENT),
+        "id", ["v"], "day", ["day", "n"], "sk")
+    members = frame([("A", "Anna", "c1")], "id string, name string, class string")
+    out = scd.with_profile(dim, members, "id", ["name", "class"])
+    assert out.columns == ["sk", "id", "v", "name", "class", "valid_from", "valid_to", "is_current"]
+    assert rows(out, "v", "name", "class") == [("x", "Anna", "c1"), ("y", "Anna", "c1")]

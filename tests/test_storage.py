@@ -5,9 +5,10 @@ import pytest
 from conftest import rows, same_rows
 from pyspark.sql import functions as F
 
-from stardw.operators import incremental, layout, versions
+from stardw.operators import buckets, incremental, layout, versions
 from stardw.operators.merge import current_state
 from stardw.plans import load
+from stardw.sources import manifest
 from stardw.streaming import stream_append, stream_changes
 
 T = [datetime(2024, 1, d) for d in (1, 2, 3)]
@@ -43,12 +44,24 @@ def test_unlogged_folder_is_no_version(frame, spark, tmp_path):
 def test_compaction_keeps_rows(spark, tmp_path):
     small, large = str(tmp_path / "s"), str(tmp_path / "l")
     spark.range(1000).repartition(20).write.parquet(small)
-    assert layout.file_sizes(spark, small).count() == 20
-    assert layout.compact(spark, small, large) == 1
-    assert layout.file_sizes(spark, large).count() == 1
+    # What compaction returns is the layout before and after.
+    report = layout.compact(spark, small, large).first()
+    assert (report.files_before, report.files_after) == (20, 1)
+    assert report.bytes_before > report.bytes_after == layout.file_sizes(spark, large).agg(F.sum("length")).first()[0]
     assert same_rows(spark.read.parquet(large), spark.range(1000).toDF("id"))
-    total = layout.file_sizes(spark, small).agg(F.sum("length")).first()[0]
-    assert layout.compact(spark, small, str(tmp_path / "m"), target_bytes=total // 3) in (3, 4)
+    third = layout.compact(spark, small, str(tmp_path / "m"), target_bytes=report.bytes_before // 3).first()
+    assert third.files_after in (3, 4)
+
+
+def test_compaction_of_a_partitioned_table(spark, tmp_path):
+    small, large = str(tmp_path / "s"), str(tmp_path / "l")
+    df = spark.range(300).select("id", (F.col("id") % 3).alias("day"), F.lit("a b").alias("city"))
+    df.repartition(6).write.partitionBy("day").parquet(small)
+    report = layout.compact(spark, small, large, partition_by=["day"]).first()
+    assert (report.files_before, report.files_after) == (18, 3)
+    assert same_rows(spark.read.parquet(large).select(df.columns), df.withColumn("day", F.col("day").cast("int")))
+    with pytest.raises(ValueError):
+        layout.compact(spark, small, str(tmp_path / "x"))
 
 
 def test_clustering_narrows_both_columns(spark, tmp_path):
@@ -154,10 +167,59 @@ def test_streams_equal_the_batch_form(spark, frame, tmp_path):
         ).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "all")), "id", "n", "kind", "v") == sorted(
         events, key=repr)
-    last = versions.latest_version(spark, str(tmp_path / "state"))
-    assert last == 3
-    state = versions.read_version(spark, str(tmp_path / "state"), last)
-    assert rows(incremental.live(state)) == replay(events)
+    # Three batches, three manifests, numbered from 0.
+    assert manifest.newest(spark, str(tmp_path / "state")).number == 2
+    assert rows(incremental.live(buckets.state(spark, str(tmp_path / "state"), schema))) == replay(events)
+
+
+def size_of(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet")) if folder.exists() else 0
+
+
+def test_a_batch_rewrites_the_buckets_it_touches(spark, frame, tmp_path):
+    path, deleted = str(tmp_path / "t"), F.col("kind") == "delete"
+    many = [(k, k, "set", k) for k in range(5000)]
+    assert buckets.apply_batch(path, frame(many, EVENT), ["id"], ["n"], deleted, "a", 32)
+    first = size_of(tmp_path / "t" / "data" / "load=0")
+    assert buckets.apply_batch(path, frame([(7, 9000, "set", 1), (7, 9001, "delete", 2)], EVENT), ["id"], ["n"], deleted, "b")
+    # One key lies in one of 32 buckets.
+    assert len(list((tmp_path / "t" / "data" / "load=1").glob("_bucket=*"))) == 1
+    assert 0 < size_of(tmp_path / "t" / "data" / "load=1") < first / 16
+    found = incremental.live(buckets.state(spark, path, frame([], EVENT).schema))
+    assert rows(found) == replay([*many, (7, 9001, "delete", 2)])
+    assert sum(n for _, n in manifest.newest(spark, path).pieces.values()) == 5000
+
+
+def test_a_repeated_batch_is_passed_over_and_a_broken_one_applied_again(spark, frame, tmp_path, monkeypatch):
+    path, deleted = str(tmp_path / "t"), F.col("kind") == "delete"
+    events = random_events()
+    schema = frame([], EVENT).schema
+    buckets.apply_batch(path, frame(events[:200], EVENT), ["id"], ["n"], deleted, "a", 8)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    whole = buckets.switch
+    monkeypatch.setattr(buckets, "switch", broken)
+    with pytest.raises(OSError):
+        buckets.apply_batch(path, frame(events[200:], EVENT), ["id"], ["n"], deleted, "b")
+    # Written but not switched to: readers see the first batch.
+    assert rows(incremental.live(buckets.state(spark, path, schema))) == replay(events[:200])
+    monkeypatch.setattr(buckets, "switch", whole)
+    assert buckets.apply_batch(path, frame(events[200:], EVENT), ["id"], ["n"], deleted, "b")
+    assert not buckets.apply_batch(path, frame(events[:5], EVENT), ["id"], ["n"], deleted, "b")
+    assert rows(incremental.live(buckets.state(spark, path, schema))) == replay(events)
+
+
+def test_folders_of_expired_manifests_are_removed(spark, frame, tmp_path):
+    path, never = str(tmp_path / "a b"), F.lit(False)
+    for n in range(5):
+        buckets.apply_batch(path, frame([(k, n, "set", n) for k in range(20)], EVENT), ["id"], ["n"], never, f"l{n}", 2)
+    assert [m.number for m in manifest.manifests(spark, path)] == [3, 4]
+    left = {f.parent.parent.name for f in (tmp_path / "a b" / "data").rglob("*.parquet")}
+    assert left == {"load=3", "load=4"}
+    buckets.apply_batch(path, frame([], EVENT), ["id"], ["n"], never, "none")
+    assert buckets.state(spark, path, frame([], EVENT).schema).count() == 20
 
 
 def test_failed_step_is_logged_and_raised(frame, spark, tmp_path):
