@@ -222,11 +222,72 @@ def test_folders_of_expired_manifests_are_removed(spark, frame, tmp_path):
     assert buckets.state(spark, path, frame([], EVENT).schema).count() == 20
 
 
-def test_failed_step_is_logged_and_raised(frame, spark, tmp_path):
-    folder = str(tmp_path / "w")
-    bad = frame([("x",)], "category string").select(
-        F.raise_error(F.lit("broken")).cast("bigint").alias("category_sk"), "category"
-    )
+ONE = "n int"
+
+
+def graph(frame, value, log, fail=()):
+    """Three tables that build on each other; `log` notes which steps are built."""
+    schema = frame([], ONE).schema
+
+    def step(name, needs):
+        def build(stored):
+            log.append(name)
+            df = frame([(value,)], ONE)
+            for need in needs:
+                df = df.unionByName(stored(need))
+            return df.select(F.raise_error(F.lit("broken")).cast("int").alias("n")) if name in fail else df
+        return load.Step(name, schema, build, needs)
+
+    # Given out of order on purpose.
+    return [step("c", ("a", "b")), step("b", ("a",)), step("a", ())]
+
+
+def seen(spark, folder, frame):
+    return {t: rows(load.table(spark, folder, t, frame([], ONE).schema)) for t in "abc"}
+
+
+def test_a_load_killed_midway_continues_and_readers_see_the_load_before(frame, spark, tmp_path):
+    folder, log = str(tmp_path / "w"), []
+    assert load.run_steps(spark, folder, graph(frame, 1, log), T[0]) == ["a", "b", "c"]
+    old = {"a": [(1,)], "b": [(1,), (1,)], "c": [(1,), (1,), (1,), (1,)]}
+    assert seen(spark, folder, frame) == old
+    log.clear()
     with pytest.raises(Exception, match="broken"):
-        load.run_step(spark, folder, "dim_category", T[0], lambda: bad)
-    assert rows(load.run_log(spark, folder), "step", "status") == [("dim_category", "error")]
+        load.run_steps(spark, folder, graph(frame, 2, log, fail={"b"}), T[1])
+    assert log == ["a", "b"]
+    assert seen(spark, folder, frame) == old
+
+    def last():
+        return load.run_log(spark, folder).filter(F.col("load") == "20240102T000000")
+
+    assert rows(last(), "step", "status", "rows") == [("a", "ok", 1), ("b", "error", None)]
+    assert "broken" in last().filter("status = 'error'").first().message
+    log.clear()
+    assert load.run_steps(spark, folder, graph(frame, 2, log), T[1]) == ["b", "c"]
+    assert log == ["b", "c"]  # what was done is not built again
+    assert seen(spark, folder, frame) == {"a": [(2,)], "b": [(2,), (2,)], "c": [(2,)] * 4}
+    assert rows(last(), "step", "status", "rows") == [("a", "ok", 1), ("b", "ok", 2), ("c", "ok", 4)]
+    assert load.run_steps(spark, folder, graph(frame, 9, log), T[1]) == []  # a complete load stays
+
+
+def test_steps_come_after_what_they_need(frame):
+    schema = frame([], ONE).schema
+    with pytest.raises(LookupError):
+        load.in_order([load.Step("a", schema, lambda _: None, ("x",))])
+    with pytest.raises(ValueError):  # a circle
+        load.in_order([load.Step("a", schema, lambda _: None, ("b",)), load.Step("b", schema, lambda _: None, ("a",))])
+
+
+def test_a_step_reads_only_what_it_needs(frame, spark, tmp_path):
+    schema = frame([], ONE).schema
+    sly = load.Step("b", schema, lambda stored: stored("a"))
+    with pytest.raises(LookupError):
+        load.run_steps(spark, str(tmp_path / "w"), [load.Step("a", schema, lambda _: frame([(1,)], ONE)), sly], T[0])
+
+
+def test_loads_before_the_last_two_are_removed(frame, spark, tmp_path):
+    folder = str(tmp_path / "w")
+    for n, when in enumerate(T):
+        load.run_steps(spark, folder, graph(frame, n, []), when)
+    assert sorted(p.name for p in (tmp_path / "w" / "data").iterdir() if any(p.rglob("*.parquet"))) == [
+        "load=20240102T000000", "load=20240103T000000"]
