@@ -1,4 +1,5 @@
 from conftest import D, rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stardw.operators import quality
@@ -62,3 +63,48 @@ def test_report_is_one_frame(frame):
     assert rows(report, "no", "check", "status") == [(1, "a", "PASS"), (2, "b", "FAIL")]
     assert rows(quality.summary(report)) == [(2, 1, 1)]
     assert rows(quality.reconcile_counts({"t": (df, df)})) == [("t", 1, 1, True)]
+
+
+def test_one_pass_equals_the_single_checks(spark, frame, tmp_path):
+    fact = frame(
+        [(n % 40, None if n == 5 else (7 if n % 3 == 0 else n % 9), float(n)) for n in range(60)],
+        "id int, dim int, v double")
+    dim = frame([(k, k == 2) for k in range(5)] + [(7, True), (7, True), (None, False)], "dim int, open boolean")
+    for name, df in (("fact", fact), ("dim", dim)):
+        df.write.parquet(str(tmp_path / name))
+    tables = {n: spark.read.parquet(str(tmp_path / n)) for n in ("fact", "dim")}
+    rows_seen = {n: Observation() for n in tables}
+    report = quality.check_tables(tables, [
+        quality.unique("grain", "fact", ["id"]),
+        quality.unique("grain and value", "fact", ["id", "v"]),
+        quality.holds("bound", "fact", F.col("v") < 50),
+        quality.holds("no null breaks it", "fact", F.col("dim") >= 0),
+        quality.refers("fk", "fact", ["dim"], "dim", ["dim"]),
+        quality.unique("one open", "dim", ["dim"], F.col("open")),
+        quality.refers("back", "dim", ["dim"], "fact", ["dim"]),
+    ], rows_seen)
+    single = quality.run_checks([
+        quality.expect_unique("grain", fact, ["id"]),
+        quality.expect_unique("grain and value", fact, ["id", "v"]),
+        quality.expect_rows("bound", fact, F.col("v") < 50),
+        quality.expect_rows("no null breaks it", fact, F.col("dim") >= 0),
+        quality.expect_fk("fk", fact, dim, "dim"),
+        quality.expect_unique("one open", dim.filter("open"), ["dim"]),
+        quality.expect_fk("back", dim, fact, "dim"),
+    ])
+    assert rows(report, *single.columns) == rows(single)
+    assert rows(report, "value") == rows(single, "value")
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("Initial Plan")[0]
+    assert initial.count("Scan parquet") == len(tables)
+    report.collect()
+    assert {n: o.get["rows"] for n, o in rows_seen.items()} == {"fact": 60, "dim": 8}
+
+
+def test_one_pass_over_empty_tables_passes(frame):
+    none = frame([], "id int")
+    report = quality.check_tables({"t": none, "u": none}, [
+        quality.unique("a", "t", ["id"]), quality.refers("b", "t", ["id"], "u", ["id"]),
+        quality.holds("c", "u", F.col("id") > 0)])
+    assert rows(report, "no", "check", "status", "value") == [
+        (1, "a", "PASS", 0.0), (2, "b", "PASS", 0.0), (3, "c", "PASS", 0.0)]
