@@ -57,3 +57,18 @@ def dense_key(df: DataFrame, key: str, name: str) -> DataFrame:
         .withColumn(name, F.col("_start") + F.col("_row"))
         .select(name, *df.columns)
     )
+
+
+def grown_keys(known: DataFrame | None, members: DataFrame, key: str, name: str) -> DataFrame:
+    """A key map with the members that are new numbered from the highest key on.
+
+    `known` has (`name`, `key`), as an earlier call returned it, or is None. Keys that
+    were given stay; the same members again add none; a NULL or repeated member gets
+    no second key. Only new members are numbered, in hash buckets.
+    """
+    found = members.select(key).filter(F.col(key).isNotNull()).distinct()
+    if known is None:
+        return dense_key(found, key, name)
+    new = dense_key(found.join(known.select(key), key, "left_anti"), key, name)
+    highest = known.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
+    return known.select(name, key).unionByName(new.withColumn(name, F.col(name) + highest))

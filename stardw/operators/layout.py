@@ -108,3 +108,50 @@ def cluster(df: DataFrame, columns: list[str], out: str, files: int, bits: int =
         .drop("z")
         .write.parquet(out)
     )
+
+
+def files_for(spark: SparkSession, path: str, target_bytes: int = 512 << 20) -> int:
+    """How many files of about `target_bytes` the table at `path` fills, by its bytes on disk."""
+    total = file_sizes(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return max(1, -(-total // target_bytes))
+
+
+def rank_cells(df: DataFrame, columns: Sequence[str], bits: int = 6, accuracy: int = 10_000) -> dict[str, Column]:
+    """For each column the cell 0..2^bits-1 that holds an equal share of the rows.
+
+    Cells end at approximate quantiles (one mergeable sketch per column, one pass), so
+    that an outlier or a long tail is one row more in the last cell and does not
+    widen the others. NULL is in the first cell. The driver holds the 2^bits - 1
+    cuts of each column, and a row finds its cell in `bits` comparisons.
+    """
+    shares = F.array(*[F.lit(i / (1 << bits)) for i in range(1, 1 << bits)])
+    cuts = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, accuracy).alias(c) for c in columns]).first()
+
+    def cell(value: Column, ends: list, low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value <= F.lit(ends[middle]), cell(value, ends, low, middle)).otherwise(
+            cell(value, ends, middle + 1, high))
+
+    def of(name: str) -> Column:
+        ends = cuts[name]
+        value = F.col(name).cast("double")
+        return F.when(value.isNull(), F.lit(0)).otherwise(cell(value, ends, 0, len(ends))) if ends else F.lit(0)
+
+    return {c: of(c) for c in columns}
+
+
+def cluster_by_rank(df: DataFrame, columns: Sequence[str], out: str, files: int, bits: int = 6) -> None:
+    """Write rows that are near in all `columns` into the same files, near by rank and not by distance."""
+    cells = rank_cells(df, columns, bits)
+    taken = [
+        F.shiftleft(F.shiftright(cell.cast("bigint"), bit).bitwiseAND(F.lit(1)), bit * len(cells) + place)
+        for place, cell in enumerate(cells.values())
+        for bit in range(bits)
+    ]
+    z = reduce(lambda a, b: a.bitwiseOR(b), taken)
+    (
+        df.withColumn("_z", z).repartitionByRange(files, "_z", F.xxhash64(*df.columns))
+        .sortWithinPartitions("_z").drop("_z").write.parquet(out)
+    )

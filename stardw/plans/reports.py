@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stardw.functions import mean, percent
+from stardw.operators.ranking import tiled
 
 
 def ranked(
@@ -190,7 +191,8 @@ def to_reorder(stock: DataFrame, products: DataFrame, key: str) -> DataFrame:
 def discount_impact(sales: DataFrame, by: str) -> DataFrame:
     """What discounts cost per group, and the quartile of the group by mean discount.
 
-    The quartiles are formed over one row per group.
+    The quartiles are formed over one row per group, by ranges: there may be as
+    many groups as products.
     """
     lost = F.sum(F.col("gross") - F.col("net"))
     groups = sales.groupBy(by).agg(
@@ -200,9 +202,7 @@ def discount_impact(sales: DataFrame, by: str) -> DataFrame:
         lost.alias("lost"),
         percent(lost, F.sum("gross")).alias("lost_pct"),
     )
-    return groups.withColumn(
-        "quartile", F.ntile(4).over(Window.orderBy("mean_discount_pct", by))
-    )
+    return tiled(groups, 4, ["mean_discount_pct", by], "quartile")
 
 
 def territory_revenue(

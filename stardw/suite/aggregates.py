@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stardw.functions import dense_key, mean, percent
-from stardw.operators import quality
+from stardw.operators import quality, ranking
 from stardw.operators.dims import ordered_list
 from stardw.plans import reports
 
@@ -228,6 +228,26 @@ def quartiles(m):
     return means.withColumn("quartile", F.ntile(4).over(w))
 
 
+@query("w07_quartiles_of_products", with_("l", f"""
+SELECT product_id, mean_discount, ntile(4) OVER (ORDER BY mean_discount, product_id) AS quartile
+FROM (SELECT product_id, {sql_mean('discount')} AS mean_discount FROM l GROUP BY product_id)"""))
+def quartiles_of_products(m):
+    """Over as many rows as there are products: by ranges, with no window over all of them."""
+    means = m.lines().groupBy("product_id").agg(mean(F.col("discount")).alias("mean_discount"))
+    return ranking.tiled(means, 4, ["mean_discount", "product_id"], "quartile")
+
+
+@query("w02_rank_of_all", with_("o l", """
+SELECT o.customer_id, CAST(sum(l.net) AS DOUBLE) AS net, count(*) AS lines,
+       rank() OVER (ORDER BY count(*) DESC) AS place
+FROM l JOIN o ON o.order_id = l.order_id GROUP BY o.customer_id"""))
+def rank_of_all(m):
+    """Every customer ranked, with many ties, and none dropped."""
+    totals = m.sales("customer_id").groupBy("customer_id").agg(
+        F.sum("net").alias("net"), F.count("*").alias("lines"))
+    return ranking.ranked_all(totals, "-lines", "place")
+
+
 @query("w08_latest_row", """
 SELECT o_custkey AS customer_id, o_orderkey AS order_id, o_orderstatus AS status FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""")

@@ -55,6 +55,21 @@ def layer_counts(m):
     })
 
 
+@query("v02_layer_content", with_("o l", """
+SELECT year(o.order_date) AS order_year, count(*) AS source_rows, count(*) AS target_rows,
+       year(o.order_date) <> (SELECT year(order_date) FROM o WHERE order_id = (SELECT min(order_id) FROM l)) AS ok
+FROM l JOIN o ON o.order_id = l.order_id GROUP BY ALL"""))
+def layer_content(m):
+    """The fact against the lines by value, with one order's quantity changed: counts agree, its year does not."""
+    columns = [*facts.SALES_GRAIN, "quantity", "discount", "gross", "net"]
+    lines = m.sales("order_date").withColumn("order_year", F.year("order_date"))
+    fact = m.fact_sales().withColumn("order_year", F.floor(F.col("order_date_key") / 10000).cast("int"))
+    first = fact.agg(F.min("order_id")).scalar()
+    spoiled = fact.withColumn(
+        "quantity", F.when(F.col("order_id") == first, F.col("quantity") + 1).otherwise(F.col("quantity")))
+    return quality.reconcile_content(lines, spoiled, columns, "order_year")
+
+
 @query("v03_unique_grain", verdict(
     "order grain", "SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY ALL HAVING count(*) > 1)"
 ) + "\nUNION ALL" + verdict(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stardw.functions import dense_key
+from stardw.functions import dense_key, grown_keys
 from stardw.operators import bridge, dims, facts, junk
 from stardw.operators.merge import current_state
 
@@ -36,6 +36,20 @@ def sequential_key(m):
     return dense_key(m.customers().select("customer_id"), "customer_id", "customer_no")
 
 
+@query("p07_growing_key", """
+WITH first_year AS (SELECT o_custkey AS customer_id, min(year(o_orderdate)) AS y FROM orders GROUP BY ALL),
+  loads AS (SELECT customer_id, dense_rank() OVER (ORDER BY y) AS load FROM first_year)
+SELECT row_number() OVER (ORDER BY load, substr(md5(CAST(customer_id AS VARCHAR)), 1, 3), customer_id)
+       AS customer_no, customer_id FROM loads""")
+def growing_key(m):
+    """One load per year of orders, each repeating all earlier members: these keep their numbers."""
+    orders, known = m.orders().select("customer_id", "order_date"), None
+    for day in m.load_dates():
+        members = orders.filter(F.col("order_date") < F.lit(day))
+        known = m.written(grown_keys(known, members, "customer_id", "customer_no"))
+    return known
+
+
 EMPLOYEE_DIM = f"""
 SELECT {sk('e.employee_id')} AS employee_sk, e.employee_id, e.full_name, e.reports_to,
        e.manager_name, x.territory_list, x.region_name

@@ -93,6 +93,27 @@ def clustered(m):
     return m.spark.read.parquet(path)
 
 
+@query("x06_clustered_by_rank", with_("l", """
+SELECT order_id, product_id, employee_id, line_number,
+       CAST(strftime(ship_date, '%Y%m%d') AS INTEGER) AS ship_date_key, true AS few_files FROM l"""))
+def clustered_by_rank(m):
+    """With one line of a far day among them; a month must not touch more than half of the files."""
+    path, given = work_folder(m.spark, "lines-by-rank"), work_folder(m.spark, "lines-given")
+    lines = m.lines().select(
+        "order_id", "product_id", "employee_id", "line_number",
+        date_key(F.col("ship_date")).alias("ship_date_key"),
+    )
+    far = lines.limit(1).withColumns({"ship_date_key": F.lit(99991231), "order_id": F.lit(-1).cast("bigint")})
+    lines.unionByName(far).write.parquet(given)
+    files = max(64, layout.files_for(m.spark, given, 128 << 20))
+    layout.cluster_by_rank(m.spark.read.parquet(given), ["ship_date_key", "product_id"], path, files)
+    stored = m.spark.read.parquet(path)
+    touched = stored.groupBy(F.col("_metadata.file_path").alias("f")).agg(
+        ((F.min("ship_date_key") <= 19980131) & (F.max("ship_date_key") >= 19980101)).alias("hit"))
+    few = touched.agg(F.count_if("hit") * 2 <= F.count("*")).scalar()
+    return stored.filter("order_id >= 0").withColumn("few_files", few)
+
+
 def event_stream(m):
     schema = m.given("events").schema
     source = m.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
