@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from stardw.llm.tables import stored
 
 
+def _signature(edges: DataFrame):
+    """The number of links and two sums of hashes of all of them, in one row."""
+    sums = [F.sum(F.xxhash64(F.lit(seed), "a", "b").cast("decimal(38,0)")) for seed in (1, 2)]
+    return edges.agg(F.count("*"), *sums).first()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(`node`, `root`) for every end of a link (`a`, `b`): the smallest node it reaches.
 
@@ -22,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .filter("a <> b").distinct(), "links"
     )
-    before = None
+    before = _signature(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
@@ -36,8 +42,7 @@ def components(links: DataFrame) -> DataFrame:
         ).filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
         small = stored(small, "small-star")
         edges = small
-        sums = [F.sum(F.xxhash64(F.lit(seed), "a", "b").cast("decimal(38,0)")) for seed in (1, 2)]
-        after = edges.agg(F.count("*"), *sums).first()
+        after = _signature(edges)
         if after == before:
             break
         before = after
