@@ -46,7 +46,8 @@ from stardw.llm.words import Words, mix, run_sums, slices
 DENSITY = 0.4
 SINGLES = 16
 WIDE = 24
-FLUSH = 1 << 20
+FLUSH = 1 << 19
+SLICE = 1 << 20
 GROUP_BYTES = 1 << 25
 PIVOTS = 16
 ROUNDS = 2
@@ -204,7 +205,7 @@ def _packed(documents: DataFrame, groups: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count, seen = [], 0, np.zeros(0, _U)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 value, first, size, node = _sets(part, "text")
                 # A set that this task has met already files nothing again.
                 new = np.zeros(len(node), bool)
@@ -316,7 +317,7 @@ def shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mask, seen = np.unpackbits(packed).astype(bool), set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 value, first, size, node = _sets(part, "text")
                 keys, sets = [], []
                 for i in np.flatnonzero((size > 0) & mask[(node % _U(BITS)).astype(np.int64)]):
@@ -499,7 +500,7 @@ def with_nodes(documents: DataFrame, node: str, size: str, text: str = "text") -
     """`documents` with the hash of each row's set and the size of the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 _, _, n, name = _sets(part, text)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(name.view(np.int64)), pa.array(n.astype(np.int64))],
