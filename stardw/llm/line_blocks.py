@@ -31,17 +31,21 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WINDOW = 3
 SURGE = 80
 MARK = 8
 
-_TOKEN = re.compile(
+# Comments, elements whose content is no text, declarations.
+_RAW = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*>",
+    r"|<[!?][^>]*>",
     re.S | re.I,
 )
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_STOP = re.compile(r"[>\"']")
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _INLINE = frozenset(
@@ -142,6 +146,54 @@ class Line(NamedTuple):
     apart: int  # number of the innermost element set apart, -1 if there is none
 
 
+def _close(html: str, at: int, failed: set[int]) -> int:
+    """Where the tag whose attributes begin at `at` ends, `>` inside quotes apart; -1 if a quote stays open.
+
+    `failed` holds places from which no end was found, so that no later tag
+    reads the same quotes again.
+    """
+    seen = []
+    while at not in failed:
+        seen.append(at)
+        stop = _STOP.search(html, at)
+        if not stop:
+            break
+        if stop[0] == ">":
+            return stop.start()
+        at = html.find(stop[0], stop.end()) + 1
+        if not at:
+            break
+    failed.update(seen)
+    return -1
+
+
+def tokens(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """Of each piece of markup where it begins and ends, and of tags whether they end, name and attributes.
+
+    A tag with an open quote ends at the next `>` and has no name. Each
+    character is read a constant number of times, however broken the page is.
+    """
+    last, failed = html.rfind(">"), set()
+    at = html.find("<")
+    while 0 <= at < last:
+        end = at + 1
+        if raw := _RAW.match(html, at):
+            end = raw.end()
+            yield at, end, False, "", ""
+        elif tag := _NAME.match(html, at):
+            close = _close(html, tag.end(), failed)
+            if close >= 0:
+                end = close + 1
+                yield at, end, bool(tag[1]), tag[2].lower(), html[tag.end():close]
+            else:
+                end = html.find(">", tag.end()) + 1
+                yield at, end, False, "", ""
+        at = html.find("<", end)
+    at = html.find("<!--", at) if at >= 0 else -1  # beyond the last `>` only a comment can begin
+    if at >= 0:
+        yield at, len(html), False, "", ""
+
+
 def lines(html: str) -> tuple[list[Line], list[tuple[int, int]]]:
     """The lines of a page; of each element set apart the number of the one around it and the articles around it."""
     out: list[Line] = []
@@ -164,14 +216,12 @@ def lines(html: str) -> tuple[list[Line], list[tuple[int, int]]]:
             linked += len(unescape(text).strip())
 
     at = 0
-    for m in _TOKEN.finditer(html):
-        if m.start() > at:
-            add(html[at:m.start()])
-        at = m.end()
-        name = (m[3] or "").lower()
+    for begin, end, ends, name, attributes in tokens(html):
+        if begin > at:
+            add(html[at:begin])
+        at = end
         if not name:
             continue
-        ends = bool(m[2])
         if name == "a":
             links = max(0, links - 1) if ends else links + 1
         if name == "br":
@@ -179,14 +229,14 @@ def lines(html: str) -> tuple[list[Line], list[tuple[int, int]]]:
         if name not in _INLINE:
             close()
             links = 0
-        elif not ends and name not in _VOID and _apart(name, m[4], opened.articles > 0):
+        elif not ends and name not in _VOID and _apart(name, attributes, opened.articles > 0):
             close()
         elif ends and opened.apart and opened.names[opened.apart[-1][0]] == name:
             close()
         if ends:
             opened.end(name)
         else:
-            opened.begin(name, m[4])
+            opened.begin(name, attributes)
     if at < len(html):
         add(html[at:])
     close()
@@ -255,13 +305,17 @@ def main_text(html: str) -> str:
 
 
 def extracted(pages: DataFrame, html: str = "html", into: str = "text") -> DataFrame:
-    """`pages` with the column `html` replaced by `into`, the main text of each page."""
-    fields = [T.StructField(into, T.StringType()) if f.name == html else f for f in pages.schema.fields]
+    """`pages` with the column `html` replaced by `into`, the main text of each page.
+
+    Another column of the name `into` is left out.
+    """
+    rest = [f for f in pages.schema.fields if f.name == html or f.name.lower() != into.lower()]
+    fields = [T.StructField(into, T.StringType()) if f.name == html else f for f in rest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([main_text(x.as_py() or "") for x in batch.column(html)], pa.string())
-            columns = [texts if n == html else c for n, c in zip(batch.schema.names, batch.columns, strict=True)]
+            columns = [texts if f.name == html else batch.column(f.name) for f in rest]
             yield pa.RecordBatch.from_arrays(columns, [f.name for f in fields])
 
-    return pages.mapInArrow(run, T.StructType(fields))
+    return pages.select(*[F.col(f"`{f.name}`") for f in rest]).mapInArrow(run, T.StructType(fields))

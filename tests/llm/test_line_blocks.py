@@ -1,5 +1,9 @@
+import random
+import re
+import time
+
 import pytest
-from stardw.llm.line_blocks import extracted, main_text, regions
+from stardw.llm.line_blocks import extracted, main_text, regions, tokens
 
 LONG = "This paragraph has a good number of words so that the sums over its lines rise well above the threshold."
 CASES = [
@@ -58,3 +62,36 @@ WHOLE = [
 @pytest.mark.parametrize(("html", "text"), WHOLE, ids=range(len(WHOLE)))
 def test_line_blocks_decide_on_every_page(html, text):
     assert main_text(html) == text
+
+
+# All markup as one pattern, which reads broken pages again and again.
+PLAIN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|</?[a-zA-Z][^>]*>",
+    re.S | re.I,
+)
+PIECES = ["<a ", "<b>", "</a>", "<!-- ", "-->", '"', "'", ">", "<script ", "<script>", "</script>", "x ", "<", "/", "<p class=", "<!d ", " "]
+
+
+def test_tokens_are_those_of_the_plain_pattern():
+    rng = random.Random(8)
+    for _ in range(20_000):
+        html = "".join(rng.choices(PIECES, k=rng.randrange(1, 25)))
+        plain = [(m.start(), m.end(), bool(m[2]), (m[3] or "").lower(), m[4] or "") for m in PLAIN.finditer(html)]
+        assert list(tokens(html)) == plain, html
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a b="x ', "<script ", "<!-- ", "<a '>' ", "<a b=\"'>", "<", "</", "<a ' > "])
+@pytest.mark.parametrize("end", ["", '"', ">", "'", "\">"])
+def test_broken_pages_take_time_by_their_length(unit, end):
+    html = unit * (1_000_000 // len(unit)) + end
+    began = time.process_time()
+    for _ in tokens(html):
+        pass
+    assert time.process_time() - began < 5
+
+
+def test_column_of_the_name_of_the_text_gives_way(spark):
+    found = extracted(spark.createDataFrame([(1, "<p>new</p>", "old")], "page_id int, html string, Text string"))
+    assert found.columns == ["page_id", "text"]
+    assert found.collect() == [(1, "new")]
