@@ -157,3 +157,13 @@ def test_features_do_not_depend_on_slices():
     whole = matcher.features(pa.array(texts))
     each = np.concatenate([matcher.features(pa.array([x])) for x in texts])
     assert np.array_equal(whole, each)
+
+
+def test_held_out_rows_rank_when_words_mark_label_0(frames):
+    """The lexicon holds words of label 1 only, so that all scores were the same."""
+    rows, labels = corpus()
+    docs, marked = frames(rows, [(i, 1 - toxic) for i, toxic in labels])
+    score = {k: r[2] for k, r in result(docs, marked).items() if held(k)}
+    bad, good = ([s for k, s in score.items() if (k % 4 != 0) == toxic] for toxic in (True, False))
+    ranked = sum((b > g) + (b == g) / 2 for b in bad for g in good) / (len(bad) * len(good))
+    assert ranked > 0.95
