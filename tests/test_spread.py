@@ -12,9 +12,11 @@ ACTIVITY = [
     "p37_factless_activity", "p38_coverage", "q21_coverage_by_region", "q22_idle_pairs", "q23_active_days",
     "v03_unique_grain",
 ]
+MERGES = ["p22_fact_upsert", "p44_second_run_fact"]
+STOCK = ["q08_to_reorder", "p29_snapshot_trend"]
 
 
-@pytest.mark.parametrize("name", ACTIVITY)
+@pytest.mark.parametrize("name", [*ACTIVITY, *MERGES, *STOCK])
 def test_tasks_grow_with_the_lines(spark, monkeypatch, name):
     monkeypatch.setattr(model, "LINES_A_TASK", 500, raising=False)
     df = queries()[name](spark, FOLDER)
