@@ -70,8 +70,9 @@ def _sets(part: pa.RecordBatch, text: str) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def nodes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row `key`, `n_shingles` and `node`, a hash of its set."""
-    rows = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    """Per row `key`, `n_shingles`, `node`, a hash of its set, and `print`, a hash of its text."""
+    rows = documents.select(
+        F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("print"))
     return with_nodes(rows, "node", "n_shingles").drop("text")
 
 
@@ -144,6 +145,18 @@ def signatures(
     return np.concatenate(entries), node_of, bands, need
 
 
+def _views(column: pa.Array | pa.ChunkedArray) -> Iterator[np.ndarray]:
+    """The 64-bit numbers in each binary value, which are not copied."""
+    for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        if len(chunk):
+            chunk = chunk.cast(pa.large_binary())
+            _, offsets, data = chunk.buffers()
+            at = np.frombuffer(offsets, np.int64)[chunk.offset:chunk.offset + len(chunk) + 1]
+            values = np.frombuffer(data or b"", np.uint8)
+            for low, high in zip(at[:-1], at[1:], strict=True):
+                yield values[low:high].view(_U)
+
+
 def _runs(sig: np.ndarray) -> np.ndarray:
     """Bounds of runs of equal values."""
     return np.concatenate([[0], np.flatnonzero(sig[1:] != sig[:-1]) + 1, [len(sig)]]) if len(sig) else np.zeros(1, int)
@@ -235,14 +248,13 @@ def shared(documents: DataFrame, groups: int) -> DataFrame:
     """What the signatures tell: `kind` pair (nodes a and b, band and number
     of signatures shared), wide (signature, node) or need (node, band, need)."""
     def find(table: pa.Table) -> pa.Table:
-        blocks: dict[str, list[bytes]] = {}
-        for kind, data in zip(table.column("kind").to_pylist(), table.column("data").to_pylist(), strict=True):
-            blocks.setdefault(kind, []).append(data)
-        entries = np.frombuffer(b"".join(blocks.pop("entry", [])), _ENTRY)
-        marks = np.unique(np.frombuffer(b"".join(blocks.get("mark", [])), _U))
-        wide = np.frombuffer(b"".join(blocks.get("wide", [])), _ENTRY)
-        needs = np.unique(np.frombuffer(b"".join(blocks.get("need", [])), _U).reshape(-1, 2), axis=0)
-        entries = _shared_only(entries, marks)
+        blocks: dict[str, list[np.ndarray]] = {k: [np.zeros(0, _U)] for k in ("entry", "mark", "wide", "need")}
+        for kind, data in zip(table.column("kind").to_pylist(), _views(table.column("data")), strict=True):
+            blocks[kind].append(data)
+        marks = np.unique(np.concatenate(blocks["mark"]))
+        wide = np.concatenate(blocks["wide"]).view(_ENTRY)
+        needs = np.unique(np.concatenate(blocks["need"]).reshape(-1, 2), axis=0)
+        entries = _shared_only(np.concatenate(blocks["entry"]).view(_ENTRY), marks)
         bounds = _runs(entries["sig"])
         length = np.repeat(np.diff(bounds), np.diff(bounds))
         many = length > WIDE
@@ -332,7 +344,7 @@ def shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
-def similar(a: bytes, b: bytes) -> bool:
+def similar(a: bytes | np.ndarray, b: bytes | np.ndarray) -> bool:
     x, y = np.frombuffer(a, _U), np.frombuffer(b, _U)
     if 4 * min(len(x), len(y)) < 3 * max(len(x), len(y)):
         return False
@@ -345,8 +357,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (`a`, `b`) whose sets are similar."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (batch.column(c).to_pylist() for c in ("x", "y"))
-            keep = pa.array([similar(p, q) for p, q in zip(left, right, strict=True)], pa.bool_())
+            both = zip(_views(batch.column("x")), _views(batch.column("y")), strict=True)
+            keep = pa.array([similar(p, q) for p, q in both], pa.bool_())
             yield batch.select(["a", "b"]).filter(keep)
 
     side = {c: sets.select(F.col("node").alias(c), F.col("shingles").alias(s)) for c, s in (("a", "x"), ("b", "y"))}
@@ -443,7 +455,7 @@ def deep_links(family: DataFrame) -> DataFrame | None:
 def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row `key`, `n_shingles` and `component`, the smallest key reachable by links.
 
-    Also `node`, the row's set, and `best`, the set of the row with that smallest key.
+    Also `node`, the row's set, `print`, its text, and `best`, the set of the row with that smallest key.
     """
     rows = stored(nodes(documents, key, text), "op5-nodes")
     total, shingles = rows.agg(F.count("*"), F.sum("n_shingles")).first()
@@ -468,7 +480,7 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     named = spread_join(placed, lowest, "root", "members", total).select("node", "component", "best", "n")
     known = spread_join(rows.filter("n_shingles > 0"), stored(named, "op5-named"), "node", "n", total)
     alone = rows.filter("n_shingles = 0").withColumn("component", F.col("key")).withColumn("best", F.col("node"))
-    columns = ["key", "n_shingles", "component", "node", "best"]
+    columns = ["key", "n_shingles", "component", "node", "print", "best"]
     return known.select(*columns).unionByName(alone.select(*columns))
 
 
@@ -479,21 +491,22 @@ def keep_one(documents: DataFrame) -> DataFrame:
     both the smallest id and the set of shingles one stays.
     """
     p = unused(documents)
-    node, size = f"{p}own", f"{p}size"
     judged = stored(classes(documents), "op5-classes")
     linked = judged.filter("n_shingles > 0")
     stays = F.col("key").eqNullSafe(F.col("component")) & (F.col("node") == F.col("best"))
-    names = [F.col("key").alias(f"{p}key"), F.col("node").alias(f"{p}node")]
-    dropped = linked.filter(~stays).select(*names).distinct()
-    again = linked.filter(stays).groupBy("key", "node").count().filter("count > 1").select(*names)
-    marked = with_nodes(documents, node, size)
-    same = F.col("doc_id").eqNullSafe(F.col(f"{p}key")) & (F.col(node) == F.col(f"{p}node"))
-    empty = marked.filter(F.col(size) == 0)
-    kept = marked.filter(F.col(size) > 0).join(dropped, same, "left_anti")
+    names = [F.col(c).alias(f"{p}{c}") for c in ("key", "print", "node")]
+    # Rows are known again by id and hash of the text, so that no text passes through Python once more.
+    same = F.col("doc_id").eqNullSafe(F.col(f"{p}key")) & (F.xxhash64("text") == F.col(f"{p}print"))
+    kept = documents.join(linked.filter(~stays).select(*names[:2]).distinct(), same, "left_anti")
+    best = linked.filter(stays)
+    twice = stored(best.groupBy("key", "node").count().filter("count > 1").select("key", "node"), "op5-twice")
+    if twice.isEmpty():
+        return kept
+    again = best.select(*names).distinct().join(
+        twice, F.col(f"{p}key").eqNullSafe(F.col("key")) & (F.col(f"{p}node") == F.col("node")), "left_semi")
     once = kept.join(again, same, "left_anti")
-    if not again.isEmpty():
-        once = once.unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", node]))
-    return once.unionByName(empty).drop(node, size)
+    return once.unionByName(
+        kept.join(again, same).dropDuplicates(["doc_id", f"{p}node"]).select(*[F.col(f"`{c}`") for c in documents.columns]))
 
 
 def with_nodes(documents: DataFrame, node: str, size: str, text: str = "text") -> DataFrame:

@@ -119,3 +119,15 @@ def test_one_row_of_each_group_stays(documents):
     assert stays == sorted([c for (c, full) in want if full] + empties, key=repr)
     assert partenum.classes(documents([])).count() == 0
     assert partenum.keep_one(documents([])).count() == 0
+
+
+def test_keep_one_reads_texts_back_in_no_python_step(documents):
+    same = "a b c d e f g h i j k l"
+    rows = [(1, same), (1, same), (1, same.upper()), (2, same), (3, ""), (3, ""), (None, None), (4, "other words only"),
+            (None, "p q r s t u"), (None, "P q r s t u")]
+    docs = documents(rows).selectExpr("doc_id", "text", "1 AS _key")
+    kept = partenum.keep_one(docs)
+    assert "MapInArrow" not in kept._jdf.queryExecution().executedPlan().toString()
+    found = sorted(((r.doc_id, (r.text or "").lower(), r._key) for r in kept.collect()), key=repr)
+    assert found == sorted([(1, same, 1), (3, "", 1), (3, "", 1), (None, "", 1), (4, "other words only", 1),
+                            (None, "p q r s t u", 1)], key=repr)
