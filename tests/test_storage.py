@@ -291,3 +291,15 @@ def test_loads_before_the_last_two_are_removed(frame, spark, tmp_path):
         load.run_steps(spark, folder, graph(frame, n, []), when)
     assert sorted(p.name for p in (tmp_path / "w" / "data").iterdir() if any(p.rglob("*.parquet"))) == [
         "load=20240102T000000", "load=20240103T000000"]
+
+
+def test_tables_of_a_load_are_written_by_the_closer_codec(spark, tmp_path):
+    from datetime import datetime
+
+    from stardw.plans import load
+
+    step = load.Step("t", spark.range(1).schema, lambda _: spark.range(10))
+    load.run_steps(spark, str(tmp_path), [step], datetime(2024, 1, 1))
+    assert list(tmp_path.glob("data/*/t/*.zstd.parquet"))
+    found = load.table(spark, str(tmp_path), "t", step.schema)
+    assert sorted(r.id for r in found.collect()) == list(range(10))
