@@ -40,14 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stardw.llm.components import components
-from stardw.llm.tables import spread_join, stored, unused
+from stardw.llm.tables import in_tasks, spread_join, stored, unused
 from stardw.llm.words import Words, mix, run_sums, slices
 
 DENSITY = 0.4
 SINGLES = 16
 WIDE = 24
 FLUSH = 1 << 19
-SLICE = 1 << 20
+SLICE = 1 << 19
 GROUP_BYTES = 1 << 25
 PIVOTS = 16
 ROUNDS = 2
@@ -431,7 +431,7 @@ def deep_links(family: DataFrame) -> DataFrame | None:
     Pivots are the members with the most frequent text that are not yet in
     their family's largest component. Links inside that component change nothing.
     """
-    left, links = family, None
+    left, links, n = family, None, family.count()
     for turn in range(ROUNDS + 1):
         if turn < ROUNDS:
             order = Window.partitionBy("root").orderBy(F.desc("share"), "node")
@@ -443,10 +443,11 @@ def deep_links(family: DataFrame) -> DataFrame | None:
         grouped = family.select("root", "node").join(
             components(links).select("node", F.col("root").alias("group")), "node", "left"
         ).withColumn("group", F.coalesce("group", "node"))
+        grouped = stored(in_tasks(grouped, n), "op5-grouped")
         sizes = grouped.groupBy("root", "group").count()
         largest = sizes.groupBy("root").agg(F.max(F.struct("count", "group")).alias("m")).select("root", "m.group")
         rest = grouped.join(largest, ["root", "group"], "left_anti").select("node")
-        left = stored(family.join(rest, "node", "left_semi"), "op5-left")
+        left = stored(in_tasks(family.join(rest, "node", "left_semi"), n), "op5-left")
         if left.isEmpty():
             break
     return links

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from stardw.llm import words
 from stardw.llm.words import HashIndex, Words, mix, slices
 
 
@@ -50,3 +51,10 @@ def test_hash_index():
     assert index(keys).tolist() == list(range(5000))
     assert (index(mix(np.arange(5000, 9000, dtype=np.uint64))) == -1).all()
     assert HashIndex(keys[:0])(keys).tolist() == [-1] * 5000
+
+
+def test_powers_of_no_bytes_come_first(monkeypatch):
+    monkeypatch.setattr(words, "_powers", {})
+    assert words.Words(pa.array(["", None])).counts().tolist() == [0, 0]
+    for size in (0, 1, words.STEP - 1, words.STEP, words.STEP + 1):
+        assert len(words.Words(pa.array(["a" * size])).hash) == (size > 0)
