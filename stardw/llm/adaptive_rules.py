@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stardw.llm.tables import fresh, unused
-from stardw.llm.words import Words, first_of_each, mix, slices
+from stardw.llm.words import Words, first_of_each, mix, slices, tidy
 
 SYMBOLS = b"#*$%&|<>"
 COUNTS = [
@@ -45,6 +45,7 @@ REACH = 3.0
 STRANGE_UPPER, STRANGE_LENGTH = 0.2, 2.0
 LEAST_GROUP = 50
 SKETCH_K = 400
+SLICE = 1 << 19
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
@@ -105,14 +106,14 @@ def measured(documents: DataFrame, text: str = "text", into: str = "quality") ->
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 found = counts_of(part.column(text))
                 column = pa.StructArray.from_arrays(
                     [pa.array(found[c].astype(np.int64)) for c in COUNTS], COUNTS
                 )
                 yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, into])
 
-    return documents.mapInArrow(run, T.StructType([*documents.schema.fields, T.StructField(into, kind)]))
+    return documents.mapInArrow(tidy(run), T.StructType([*documents.schema.fields, T.StructField(into, kind)]))
 
 
 def _ratios(m: str, free: bool = False) -> dict[str, Column]:

@@ -38,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stardw.llm.words import _SPACE, HashIndex, Spans, as_bytes, mix, slices
+from stardw.llm.words import _SPACE, HashIndex, Spans, as_bytes, mix, slices, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SHARPNESS = 1.0
 SAMPLES = 2
-SLICE = 1 << 18
-# What a task remembers of lattices: 109 MB of edges and 14 MB of places.
-EDGES, PLACES = 1 << 22, 7 << 18
+SLICE = 1 << 17
+# What a task remembers of lattices: 55 MB of edges and 7 MB of places.
+EDGES, PLACES = 1 << 21, 7 << 17
 # No uniform number of 53 bits gives a Gumbel draw above this.
 GREATEST = 36.8
 
@@ -495,7 +495,7 @@ def encoded(
                 yield from batch_of(part, lattices)
 
     rows = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(tidy(run), SCHEMA)
 
 
 def decoded(pieces: DataFrame, ids: str = "ids", into: str = "text", model: str = MODEL) -> DataFrame:

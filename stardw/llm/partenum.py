@@ -41,13 +41,13 @@ from pyspark.sql import types as T
 
 from stardw.llm.components import components
 from stardw.llm.tables import in_tasks, spread_join, stored, unused
-from stardw.llm.words import Words, mix, run_sums, slices
+from stardw.llm.words import Words, give_back, mix, run_sums, slices, tidy
 
 DENSITY = 0.4
 SINGLES = 16
 WIDE = 24
-FLUSH = 1 << 19
-SLICE = 1 << 19
+FLUSH = 1 << 18
+SLICE = 1 << 18
 GROUP_BYTES = 1 << 25
 PIVOTS = 16
 ROUNDS = 2
@@ -241,7 +241,7 @@ def _packed(documents: DataFrame, groups: int) -> DataFrame:
         if count:
             yield batch_of(list(blocks(np.concatenate(held))))
 
-    return documents.select("text").mapInArrow(run, "part int, kind string, data binary")
+    return documents.select("text").mapInArrow(tidy(run), "part int, kind string, data binary")
 
 
 def shared(documents: DataFrame, groups: int) -> DataFrame:
@@ -279,7 +279,12 @@ def shared(documents: DataFrame, groups: int) -> DataFrame:
         return pa.table({"kind": pa.array(kind, pa.string()), "a": pa.array(a.view(np.int64)),
                          "b": pa.array(b.view(np.int64)), "c": pa.array(c.view(np.int64))})
 
-    return _packed(documents, groups).groupBy("part").applyInArrow(find, "kind string, a bigint, b bigint, c bigint")
+    def tidied(table: pa.Table) -> pa.Table:
+        found = find(table)
+        give_back()
+        return found
+
+    return _packed(documents, groups).groupBy("part").applyInArrow(tidied, "kind string, a bigint, b bigint, c bigint")
 
 
 def candidates(tells: DataFrame) -> DataFrame:
@@ -340,7 +345,7 @@ def shingle_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(
                     {"node": pa.array(keys, pa.int64()), "shingles": pa.array(sets, pa.binary())})
 
-    found = documents.select("text").mapInArrow(run, "node bigint, shingles binary")
+    found = documents.select("text").mapInArrow(tidy(run), "node bigint, shingles binary")
     return found.join(wanted, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -362,7 +367,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(keep)
 
     side = {c: sets.select(F.col("node").alias(c), F.col("shingles").alias(s)) for c, s in (("a", "x"), ("b", "y"))}
-    return pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "x", "y").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -521,4 +526,4 @@ def with_nodes(documents: DataFrame, node: str, size: str, text: str = "text") -
                     [*part.schema.names, node, size])
 
     fields = [T.StructField(node, T.LongType()), T.StructField(size, T.LongType())]
-    return documents.mapInArrow(run, T.StructType([*documents.schema.fields, *fields]))
+    return documents.mapInArrow(tidy(run), T.StructType([*documents.schema.fields, *fields]))

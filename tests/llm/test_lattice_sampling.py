@@ -1,6 +1,8 @@
 import itertools
 import math
 import os
+import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -112,3 +114,19 @@ def test_encode_decode_round_trip(spark, documents):
     assert again == {(r.key, r.sample, tuple(r.ids)) for r in found.collect()}
     assert ls.encoded(documents([])).count() == 0
     assert ls.decoded(spark.createDataFrame([(None, 1)], "ids array<int>, text2 int")).first().text is None
+
+
+def test_a_task_of_many_chunks_takes_little_memory(pieces):
+    rng = random.Random(5)
+    column = pa.array([" ".join(
+        "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 12))) for _ in range(400)
+    ) for _ in range(300)])
+    batch, lookup = pa.record_batch({"text": column}), pieces.lookup()
+    tracemalloc.start()
+    try:
+        lattices = ls.Lattices(lookup)
+        for part in ls.slices(batch, "text", ls.SLICE):
+            ls.Texts(part.column("text"), mix(np.arange(part.num_rows, dtype=np.uint64)), lattices).top(2)
+        assert tracemalloc.get_traced_memory()[1] < 120 << 20
+    finally:
+        tracemalloc.stop()

@@ -1,7 +1,11 @@
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from stardw.llm import words
 from stardw.llm.words import HashIndex, Words, mix, slices
 
@@ -58,3 +62,37 @@ def test_powers_of_no_bytes_come_first(monkeypatch):
     assert words.Words(pa.array(["", None])).counts().tolist() == [0, 0]
     for size in (0, 1, words.STEP - 1, words.STEP, words.STEP + 1):
         assert len(words.Words(pa.array(["a" * size])).hash) == (size > 0)
+
+
+HELD = """
+import re
+from pathlib import Path
+from stardw.llm.words import tidy
+
+def run(batches):
+    held = [bytes(2000) for _ in range(50_000)]
+    last.append(held[-1])  # so that what lies below it is not given back by itself
+    yield len(held)
+
+last = []
+list(%s)
+print(re.search(r"Pss_Anon:\\s+(\\d+)", Path("/proc/self/smaps_rollup").read_text())[1])
+"""
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="memory can't be read here")
+def test_a_worker_gives_freed_memory_back_at_the_end_of_a_task():
+    def left(call):
+        root = Path(words.__file__).parents[2]
+        return int(subprocess.run([sys.executable, "-c", HELD % call], cwd=root, check=True, capture_output=True).stdout)
+
+    assert left("tidy(run)([])") + 50_000 < left("run([])")
+
+
+def test_a_task_that_stops_early_is_tidied(monkeypatch):
+    done = []
+    monkeypatch.setattr(words, "give_back", lambda: done.append(1))
+    batches = words.tidy(lambda batches: (b for b in batches))(iter([1, 2]))
+    assert next(batches) == 1 and not done
+    batches.close()
+    assert done == [1]
