@@ -5,6 +5,7 @@ import pytest
 from conftest import D, rows, same_rows
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from stardw.functions import date_key, discount_band, mean, ship_mode
 from stardw.operators import bridge, facts, junk
 from stardw.operators.merge import action_counts, current_state
@@ -86,6 +87,22 @@ def test_snapshot_of_a_loaded_day_adds_nothing(stock):
     assert copied.join(table, "stock_sk", "left_semi").isEmpty()
 
 
+def test_appended_snapshots_are_not_shuffled_by_period(spark):
+    """Periods are few and facts are not: a shuffle by period wrote the whole fact into one task for each."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large for Spark to send by itself
+    try:
+        df = queries()["p26_stock_snapshots"](spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        found = df.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert len(found) == len({r.stock_sk for r in found})
+    assert {r.snapshot_date_key < 19980101 for r in found} == {True, False}
+    assert all(f.endswith(".zstd.parquet") for f in df.inputFiles())
+
+
 def test_month_end_levels_fill_months_without_movement(frame):
     moves = frame(
         [(1, D("2020-01-10"), 30), (1, D("2020-01-20"), 5), (1, D("2020-04-02"), 80),
