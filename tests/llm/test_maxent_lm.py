@@ -180,3 +180,89 @@ def test_histories_are_gathered_once_over_the_whole_corpus(documents):
     together = maxent_lm.reckoned(sums, found.code.to_numpy(), found.times.to_numpy(), weights)
     assert abs(together - norms) < 1e-3
     assert np.allclose(sums, guess, rtol=1e-4, atol=1e-4)
+
+
+def whole_model(rows, documents):
+    docs = documents(rows)
+    held = docs.select(maxent_lm.F.col("doc_id").alias("key"), "text", maxent_lm.held_out("doc_id").alias("held_out"))
+    table = maxent_lm.counts(held.filter("not held_out"))
+    vocabulary = maxent_lm.Vocabulary.of(table)
+    places = maxent_lm.stored(maxent_lm.encoded(held, vocabulary), "test-places")
+    classes = maxent_lm.Classes.of(vocabulary, places.filter("not held_out"))
+    return vocabulary, places, classes, maxent_lm.Events.of(vocabulary, classes)
+
+
+def test_events_share_the_mass_of_their_classes(documents, monkeypatch):
+    monkeypatch.setattr(maxent_lm, "TOP", 200)  # the other words go by buckets
+    vocabulary, _, classes, events = whole_model(corpus(200), documents)
+    assert len(events.mass) == 200 + maxent_lm.BUCKETS and events.mass.min() > 0
+    assert np.allclose(np.bincount(events.kind, weights=events.mass), classes.mass, rtol=1e-12)
+    assert abs(events.mass.sum() - (vocabulary.n + vocabulary.v + 1)) < 1e-6
+
+
+def test_words_in_a_class_are_a_distribution_with_the_pairs_of_the_largest_entropy(documents, monkeypatch):
+    monkeypatch.setattr(maxent_lm, "TOP", 200)
+    _, places, _, events = whole_model(corpus(200), documents)
+    code = []
+    for batch in places.filter("not held_out").select("place").toArrow().to_batches():
+        code.append(maxent_lm.pairs(*maxent_lm._places(batch), events.kind))
+    code, n = np.unique(np.concatenate(code), return_counts=True)
+    raised, total, rate = maxent_lm.solved(code, n, events)
+    gain = maxent_lm.word_gains(code, n, raised, total, rate, events)
+    assert 0 < raised.sum() < len(raised)
+    cut, which = maxent_lm.contexts(code)
+    event = code & ((1 << maxent_lm.EVENT_BITS) - 1)
+    share = events.mass / events.whole[events.kind]
+    chance = np.exp(gain) * share[event]
+    # The words of the class that never follow the word before have the rate's chance.
+    rest = np.exp(np.log(rate) + np.log(events.whole[events.kind[event[cut]]] / total))
+    away = 1 - np.add.reduceat(share[event], cut)
+    assert np.allclose(np.add.reduceat(chance, cut) + rest * away, 1, atol=1e-9)
+    # With a weight: expected as often as it occurs less the discount; without: no less than that.
+    expected = chance * total[which]
+    assert np.allclose(expected[raised], n[raised] - maxent_lm.DISCOUNT)
+    assert (expected[~raised] >= n[~raised] - maxent_lm.DISCOUNT - 1e-9).all()
+
+
+def test_word_gains_of_rows_are_those_of_the_whole_corpus_for_any_split(documents, monkeypatch):
+    monkeypatch.setattr(maxent_lm, "TOP", 200)
+    rows = corpus(150) + [(1000, None), (1001, ""), (1002, "a1 b1 " * 2000)]
+    found = {}
+    for tasks in (1, 5):
+        docs = documents(rows).repartition(tasks)
+        held = docs.select(maxent_lm.F.col("doc_id").alias("key"), "text", maxent_lm.held_out("doc_id").alias("held_out"))
+        vocabulary = maxent_lm.Vocabulary.of(maxent_lm.counts(held.filter("not held_out")))
+        places = maxent_lm.stored(maxent_lm.encoded(held, vocabulary), "test-places")
+        classes = maxent_lm.Classes.of(vocabulary, places.filter("not held_out"))
+        gains = maxent_lm._worded(places, vocabulary, classes).join(places.select("row", "key"), "row")
+        found[tasks] = {r.key: r.word_gain for r in gains.collect()}
+    # By hand: one table of all training pairs, looked up for each token.
+    events = maxent_lm.Events.of(vocabulary, classes)
+    code, trained, keys = [], [], []
+    for batch in places.select("key", "held_out", "place").toArrow().to_batches():
+        place, first = maxent_lm._places(batch)
+        code.append(maxent_lm.pairs(place, first, events.kind))
+        trained.append(np.repeat([not h for h in batch.column("held_out").to_pylist()], np.diff(first)))
+        keys.append(np.repeat(batch.column("key").to_numpy(), np.diff(first)))
+    code, which = np.unique(np.concatenate(code), return_inverse=True)
+    n = np.bincount(which, weights=np.concatenate(trained)).astype(np.int64)
+    gain = maxent_lm.word_gains(code, n, *maxent_lm.solved(code, n, events), events)[which] / np.log(10)
+    keys = np.concatenate(keys)
+    assert set(found[1]) == set(found[5]) == {key for key, _ in rows}
+    for key, _ in rows:
+        tokens = (keys == key).sum()
+        assert abs(gain[keys == key].sum() - found[1][key]) < 1e-6 * tokens
+        assert abs(found[5][key] - found[1][key]) < 1e-6 * tokens
+
+
+def test_a_word_scores_higher_after_its_usual_word_than_others_of_its_class(documents):
+    """All words but the anchors are of one class here, in which a word had its share of counts before."""
+    rng = random.Random(9)
+    anchors = [f"f{i}" for i in range(maxent_lm.ANCHORS - 2)]  # with "the" and the end of a text
+    rows = [(2 * i, " ".join(rng.choices(anchors, k=60))) for i in range(300)]
+    rows += [(2 * i + 1, " ".join(f"the u{k} v{k}" for k in rng.choices(range(40, 100), k=40))) for i in range(300)]
+    usual, odd = (next(i for i in range(k, k + 99) if zlib.crc32(str(i).encode()) % 7 == 2) for k in (1000, 3000))
+    texts = [(usual, "the u60 v60 the u70 v70 the u80 v80"), (odd, "the u60 v70 the u70 v80 the u80 v60")]
+    found = {r.key: r for r in maxent_lm.score(documents([*rows, *texts])).collect()}
+    assert abs(found[usual].base_score - found[odd].base_score) < 1e-9
+    assert found[usual].score > found[odd].score + 3  # three pairs, each by more than a factor of ten
